@@ -1,8 +1,10 @@
 """Cell differences of aligned rows, flat or nested.
 
-The whole comparison is one narrow projection over the aligned rows: rows
-without a difference are filtered out first, and only differing cells become
-array elements, so width times rows never exists.
+The whole comparison is one expression per aligned row: an array of the cells
+that differ, NULL for an equal row, unfolded at once. So width times rows never
+exists, and the expression stays inside whole-stage code. There is deliberately
+no filter on the comparison itself: Catalyst would carry that large condition
+through every later projection as an inferred constraint.
 """
 
 from __future__ import annotations
@@ -18,7 +20,6 @@ from tallymend.functions.hashing import row_hash
 from tallymend.operators.align import aligned_cell, matched_pairs
 
 PAIR_KEYS = ("year", "month", "week", "primary_key", "occurrence")
-HASHES = ("source_hash", "dest_hash")
 
 
 def _cell(aligned: DataFrame, name: str, column: str) -> Cell:
@@ -35,10 +36,6 @@ def differs(aligned: DataFrame, column: str, options: Compare = Compare()) -> st
     return f"({s.raw} IS NOT NULL AND {d.raw} IS NOT NULL AND {unequal})"
 
 
-def any_differs(aligned: DataFrame, columns: Sequence[str], options: Compare = Compare()) -> str:
-    return " OR ".join(["false", *(differs(aligned, c, options) for c in columns)])
-
-
 def hashes(aligned: DataFrame, columns: Sequence[str], algo: str) -> tuple[str, str]:
     """Row digests of both sides over the compared columns."""
     return tuple(
@@ -72,60 +69,54 @@ def hash_counts(aligned: DataFrame, columns: Sequence[str]) -> DataFrame:
 def differing_cells(
     aligned: DataFrame, columns: Sequence[str], options: Compare = Compare()
 ) -> str:
-    """ARRAY of the differing cells of a row, in column order."""
+    """ARRAY of the differing cells of a pair, in column order; NULL for none.
+
+    Equal digests imply equal cells, so a pair with a differing cell never has
+    equal digests: ``use_row_hash`` only adds the two digests to the cells.
+    """
+    src_hash, dest_hash = (
+        hashes(aligned, columns, "md5") if options.use_row_hash else (NO_TEXT, NO_TEXT)
+    )
+
+    flags = {c: differs(aligned, c, options) for c in columns}
 
     def entry(column: str) -> str:
         s, d = _cell(aligned, "src", column), _cell(aligned, "dest", column)
         return (
-            f"CASE WHEN {differs(aligned, column, options)} THEN named_struct("
-            f"'column', {literal(column)},"
+            f"CASE WHEN {flags[column]} THEN array(named_struct('column', {literal(column)},"
             f" 'source_value', {s.canonical()}, 'dest_value', {d.canonical()},"
-            f" 'source_raw', {raw_text(s.raw, s.dtype)}, 'dest_raw', {raw_text(d.raw, d.dtype)}"
-            f") END"
+            f" 'source_raw', {raw_text(s.raw, s.dtype)}, 'dest_raw', {raw_text(d.raw, d.dtype)},"
+            f" 'source_hash', {src_hash}, 'dest_hash', {dest_hash})) ELSE array() END"
         )
 
-    return f"array_compact(array({', '.join(entry(c) for c in columns)}))"
-
-
-def mismatched_pairs(
-    aligned: DataFrame, columns: Sequence[str], options: Compare = Compare()
-) -> DataFrame:
-    """Matched pairs with at least one difference, and their ``cells`` array.
-
-    Equal digests imply equal cells, so a pair that gets here never has equal
-    digests: ``use_row_hash`` only has to add the two digests to the output.
-    """
-    src_hash, dest_hash = (
-        hashes(aligned, columns, "md5") if options.use_row_hash else (NO_TEXT, NO_TEXT)
-    )
-    return (
-        matched_pairs(aligned)
-        .where(any_differs(aligned, columns, options))
-        .selectExpr(
-            *PAIR_KEYS,
-            f"{differing_cells(aligned, columns, options)} AS cells",
-            f"{src_hash} AS source_hash",
-            f"{dest_hash} AS dest_hash",
-        )
-    )
+    if not columns:
+        raise ValueError("no columns to compare")
+    any_flag = " OR ".join(flags.values())
+    return f"CASE WHEN {any_flag} THEN concat({', '.join(entry(c) for c in columns)}) END"
 
 
 def diff(aligned: DataFrame, columns: Sequence[str], options: Compare = Compare()) -> DataFrame:
     """One row per differing cell."""
-    return mismatched_pairs(aligned, columns, options).selectExpr(
-        *PAIR_KEYS, "inline(cells)", *HASHES
-    )
+    cells = differing_cells(aligned, columns, options)
+    return matched_pairs(aligned).selectExpr(*PAIR_KEYS, f"inline({cells})")
 
 
 def diff_nested(
     aligned: DataFrame, columns: Sequence[str], options: Compare = Compare()
 ) -> DataFrame:
     """One row per differing pair, its differences nested in column order."""
-    fields = ["cell.column AS column", "cell.source_value AS source_value", "cell.dest_value AS dest_value"]
+    fields = ["column", "source_value", "dest_value"]
     if options.use_row_hash:
-        fields += HASHES
-    return mismatched_pairs(aligned, columns, options).selectExpr(
-        "primary_key",
-        f"transform(cells, cell -> struct({', '.join(fields)})) AS mismatches",
-        "struct(year, month, week) AS partition",
+        fields += ["source_hash", "dest_hash"]
+    entry = ", ".join(f"cell.{f} AS {f}" for f in fields)
+    cells = differing_cells(aligned, columns, options)
+    return (
+        matched_pairs(aligned)
+        .selectExpr(*PAIR_KEYS, f"{cells} AS cells")
+        .where("cells IS NOT NULL")
+        .selectExpr(
+            "primary_key",
+            f"transform(cells, cell -> struct({entry})) AS mismatches",
+            "struct(year, month, week) AS partition",
+        )
     )

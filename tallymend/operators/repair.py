@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallymend.functions.cells import literal
 from tallymend.functions.labels import update_label
 from tallymend.operators.report import MISMATCH
 from tallymend.plans.scope import PARTITION, Scope
@@ -62,13 +63,14 @@ def plan_repairs(
     chosen = candidates(found, scope)
     if skip_nulls:
         chosen = skip_null_sources(chosen)
-    fits = F.lit(False)
+    fits = "CASE column"
     for field in dest.schema.fields:
         if field.name not in PARTITION:
-            ok = F.col("source_raw").isNull()
+            ok = "source_raw IS NULL"
             if _assignable(field.dataType):
-                ok = ok | F.col("source_raw").try_cast(field.dataType).isNotNull()
-            fits = F.when(F.col("column") == field.name, ok).otherwise(fits)
+                ok += f" OR try_cast(source_raw AS {field.dataType.simpleString()}) IS NOT NULL"
+            fits += f" WHEN {literal(field.name)} THEN {ok}"
+    fits += " ELSE false END"
     # Duplicate keys may report several values for one cell; the smallest wins.
     value = F.min(F.struct("source_raw", "source_value", "dest_value")).alias("v")
     return (

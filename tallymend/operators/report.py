@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tallymend.config import Compare
 from tallymend.functions.cells import NO_TEXT
-from tallymend.operators.diff import any_differs, differing_cells, hashes
+from tallymend.operators.diff import differing_cells
 
 MISMATCH, MISSING, EXTRA = "mismatch", "missing_in_dest", "extra_in_dest"
 
@@ -39,9 +39,11 @@ def _row_json(name: str) -> str:
 
 
 def _whole_row(source: str, dest: str) -> str:
+    absent = ("source_raw", "dest_raw", "source_hash", "dest_hash")
     return (
-        f"array(named_struct('column', {NO_TEXT}, 'source_value', {source}, 'dest_value', {dest},"
-        f" 'source_raw', {NO_TEXT}, 'dest_raw', {NO_TEXT}))"
+        f"array(named_struct('column', {NO_TEXT}, 'source_value', {source}, 'dest_value', {dest}, "
+        + ", ".join(f"'{name}', {NO_TEXT}" for name in absent)
+        + "))"
     )
 
 
@@ -51,33 +53,23 @@ def report(aligned: DataFrame, columns: Sequence[str], options: Compare = Compar
     Missing and extra rows have no column and carry the whole row as JSON. The
     three kinds come out of one pass, not out of three reads of the alignment.
     """
-    unpaired = "src IS NULL OR dest IS NULL"
-    src_hash, dest_hash = (
-        hashes(aligned, columns, "md5") if options.use_row_hash else (NO_TEXT, NO_TEXT)
-    )
     records = (
         f"CASE WHEN dest IS NULL THEN {_whole_row(_row_json('src'), NO_TEXT)}"
         f" WHEN src IS NULL THEN {_whole_row(NO_TEXT, _row_json('dest'))}"
         f" ELSE {differing_cells(aligned, columns, options)} END"
     )
-    return (
-        aligned.where(f"{unpaired} OR {any_differs(aligned, columns, options)}")
-        .selectExpr(
-            "cast(primary_key AS string) AS primary_key",
-            f"CASE WHEN dest IS NULL THEN '{MISSING}' WHEN src IS NULL THEN '{EXTRA}'"
-            f" ELSE '{MISMATCH}' END AS type",
-            f"CASE WHEN NOT ({unpaired}) THEN {src_hash} END AS source_hash",
-            f"CASE WHEN NOT ({unpaired}) THEN {dest_hash} END AS dest_hash",
-            "year",
-            "month",
-            "week",
-            # A row without a key has no position; its content tells it apart.
-            "coalesce(cast(occurrence AS string),"
-            f" md5(coalesce({_row_json('src')}, {_row_json('dest')}))) AS occurrence",
-            f"inline({records})",
-        )
-        .select(*REPORT_COLUMNS)
-    )
+    # A row without a key has no position; its content tells it apart.
+    content = f"md5(coalesce({_row_json('src')}, {_row_json('dest')}))"
+    return aligned.selectExpr(
+        "cast(primary_key AS string) AS primary_key",
+        f"CASE WHEN dest IS NULL THEN '{MISSING}' WHEN src IS NULL THEN '{EXTRA}'"
+        f" ELSE '{MISMATCH}' END AS type",
+        "year",
+        "month",
+        "week",
+        f"coalesce(cast(occurrence AS string), {content}) AS occurrence",
+        f"inline({records})",
+    ).select(*REPORT_COLUMNS)
 
 
 def summary(found: DataFrame) -> DataFrame:

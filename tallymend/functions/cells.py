@@ -29,8 +29,9 @@ WHITE_SPACE = (
 
 # Text forms read as a full calendar day, each optionally
 # followed by a time of day. (pattern of the day part, Spark date format)
+ISO_DAY = "yyyy-MM-dd"  # what Spark's own cast reads
 DATE_FORMS: tuple[tuple[str, str], ...] = (
-    (r"\d{4}-\d{2}-\d{2}", "yyyy-MM-dd"),
+    (r"\d{4}-\d{2}-\d{2}", ISO_DAY),
     (r"\d{4}/\d{2}/\d{2}", "yyyy/MM/dd"),
     (r"\d{1,2}/\d{1,2}/\d{4}", "M/d/yyyy"),
     (r"\d{1,2}-[A-Za-z]{3}-\d{4}", "d-MMM-yyyy"),
@@ -41,9 +42,10 @@ TIME_OF_DAY = (
     r"( ?(Z|[+-]\d{2}:?\d{2}))?)?"
 )
 
-# Text read as a number; Spark itself reads no sign before "nan".
-NUMBER_FORM = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$|^(?i:[+-]?inf|[+-]?infinity|nan)$"
-SIGNED_NAN = ("+nan", "-nan")
+# Text read as a number.
+NUMBER_FORM = (
+    r"^[+-]?(?:(?:\d++(?:\.\d*+)?|\.\d++)(?:[eE][+-]?\d++)?|(?i:inf|infinity|nan))$"
+)
 
 # Two numbers closer than this are the same value.
 TOLERANCE = 1e-5
@@ -96,16 +98,25 @@ def raw_text(col: str, dtype: T.DataType) -> str:
     return f"cast({col} AS string)"
 
 
+def apart(expression: str, col: str) -> str:
+    """The same value, evaluated by a projection outside whole-stage code.
+
+    Reading and comparing many cells makes one generated method too long for
+    the JVM to compile, which runs several times slower. A lambda in a
+    projection keeps it out of the whole stage, and its code is then split
+    into short methods. ``col`` is any column at hand.
+    """
+    return f"CASE WHEN size(transform(array({col}), x -> x)) = 1 THEN {expression} END"
+
+
 def trimmed(col: str) -> str:
     return f"btrim({col}, r'{WHITE_SPACE}')"
 
 
 def _text_number(text: str) -> str:
-    signed = ", ".join(literal(n) for n in SIGNED_NAN)
-    return (
-        f"CASE WHEN {text} RLIKE r'{NUMBER_FORM}' THEN try_cast({text} AS double)"
-        f" WHEN lower({text}) IN ({signed}) THEN double('NaN') END"
-    )
+    # A signed "nan" is the only such text that Spark's cast does not read.
+    number = f"coalesce(try_cast({text} AS double), double('NaN'))"
+    return f"CASE WHEN {text} RLIKE r'{NUMBER_FORM}' THEN {number} END"
 
 
 def _text_day(text: str, forms: Sequence[tuple[str, str]]) -> str:
@@ -114,7 +125,11 @@ def _text_day(text: str, forms: Sequence[tuple[str, str]]) -> str:
         return NO_DAY
     any_form = "|".join(day for day, _ in forms)
     part = f"regexp_extract({text}, r'^({any_form})', 1)"
-    tries = ", ".join(f"try_to_date({part}, {literal(fmt)})" for _, fmt in forms)
+    tries = ", ".join(
+        # The cast itself passes over a time of day.
+        f"try_cast({text} AS date)" if fmt == ISO_DAY else f"try_to_date({part}, {literal(fmt)})"
+        for _, fmt in forms
+    )
     return f"CASE WHEN {text} RLIKE r'^({any_form}){TIME_OF_DAY}$' THEN coalesce({tries}) END"
 
 

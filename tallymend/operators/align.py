@@ -31,6 +31,7 @@ from tallymend.functions.cells import (
     NUMBER,
     OPAQUE,
     Cell,
+    apart,
     carried,
     kind_of,
     literal,
@@ -265,7 +266,7 @@ def _cells(both: Sides) -> str:
         else:
             found = f"CASE WHEN side = {SRC} THEN {reading(src)} ELSE {reading(dest)} END"
         fields.append(f"{literal(c)}, {found}")
-    return f"named_struct({', '.join(fields)})"
+    return apart(f"named_struct({', '.join(fields)})", "side")
 
 
 def _order(both: Sides) -> list[str]:
@@ -408,7 +409,7 @@ def dirty_keys(both: Sides) -> DataFrame:
     def signed(df: DataFrame, name: str, sign: int) -> DataFrame:
         digest = row_hash({c: both.plain_cell(name, c) for c in both.columns})
         return df.where("primary_key IS NOT NULL").selectExpr(
-            *KEYS, f"{digest} AS digest", f"{sign} AS sign"
+            *KEYS, f"{apart(digest, 'primary_key')} AS digest", f"{sign} AS sign"
         )
 
     return (

@@ -1,10 +1,10 @@
 """Cell differences of aligned rows, flat or nested.
 
 The whole comparison is one expression per aligned row: an array of the cells
-that differ, NULL for an equal row, unfolded at once. So width times rows never
-exists, and the expression stays inside whole-stage code. There is deliberately
-no filter on the comparison itself: Catalyst would carry that large condition
-through every later projection as an inferred constraint.
+that differ, NULL for an equal row, unfolded afterwards. So width times rows
+never exists. There is deliberately no filter on the comparison itself, and the
+unfolding is an outer one so that none is inferred: Catalyst would carry that
+large condition through every later projection as a constraint.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymend.config import Compare
-from tallymend.functions.cells import NO_TEXT, Cell, cells_equal, literal, raw_text
+from tallymend.functions.cells import NO_TEXT, Cell, apart, cells_equal, literal, raw_text
 from tallymend.functions.hashing import row_hash
 from tallymend.operators.align import aligned_cell, matched_pairs
 
@@ -97,8 +97,13 @@ def differing_cells(
 
 def diff(aligned: DataFrame, columns: Sequence[str], options: Compare = Compare()) -> DataFrame:
     """One row per differing cell."""
-    cells = differing_cells(aligned, columns, options)
-    return matched_pairs(aligned).selectExpr(*PAIR_KEYS, f"inline({cells})")
+    cells = apart(differing_cells(aligned, columns, options), "occurrence")
+    return (
+        matched_pairs(aligned)
+        .selectExpr(*PAIR_KEYS, f"{cells} AS cells")
+        .selectExpr(*PAIR_KEYS, "inline_outer(cells)")
+        .where("column IS NOT NULL")
+    )
 
 
 def diff_nested(
@@ -109,7 +114,7 @@ def diff_nested(
     if options.use_row_hash:
         fields += ["source_hash", "dest_hash"]
     entry = ", ".join(f"cell.{f} AS {f}" for f in fields)
-    cells = differing_cells(aligned, columns, options)
+    cells = apart(differing_cells(aligned, columns, options), "occurrence")
     return (
         matched_pairs(aligned)
         .selectExpr(*PAIR_KEYS, f"{cells} AS cells")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallymend.config import Compare
-from tallymend.functions.cells import NO_TEXT
+from tallymend.functions.cells import NO_TEXT, apart
 from tallymend.operators.diff import differing_cells
 
 MISMATCH, MISSING, EXTRA = "mismatch", "missing_in_dest", "extra_in_dest"
@@ -60,16 +60,22 @@ def report(aligned: DataFrame, columns: Sequence[str], options: Compare = Compar
     )
     # A row without a key has no position; its content tells it apart.
     content = f"md5(coalesce({_row_json('src')}, {_row_json('dest')}))"
-    return aligned.selectExpr(
-        "cast(primary_key AS string) AS primary_key",
-        f"CASE WHEN dest IS NULL THEN '{MISSING}' WHEN src IS NULL THEN '{EXTRA}'"
-        f" ELSE '{MISMATCH}' END AS type",
-        "year",
-        "month",
-        "week",
-        f"coalesce(cast(occurrence AS string), {content}) AS occurrence",
-        f"inline({records})",
-    ).select(*REPORT_COLUMNS)
+    fixed = ("primary_key", "type", "year", "month", "week", "occurrence")
+    return (
+        aligned.selectExpr(
+            "cast(primary_key AS string) AS primary_key",
+            f"CASE WHEN dest IS NULL THEN '{MISSING}' WHEN src IS NULL THEN '{EXTRA}'"
+            f" ELSE '{MISMATCH}' END AS type",
+            "year",
+            "month",
+            "week",
+            f"coalesce(cast(occurrence AS string), {content}) AS occurrence",
+            f"{apart(records, 'occurrence')} AS records",
+        )
+        .selectExpr(*fixed, "inline_outer(records)")
+        .where(f"column IS NOT NULL OR type <> '{MISMATCH}'")
+        .select(*REPORT_COLUMNS)
+    )
 
 
 def summary(found: DataFrame) -> DataFrame:

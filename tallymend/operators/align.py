@@ -55,6 +55,7 @@ SRC, DEST = 0, 1
 # the sketch holds well under a thousandth of the rows.
 HOT_KEYS = 10_000
 SKETCH_ITEMS = 100_000
+SKETCH_LANES = 1_000
 # Exact copies of a row are unfolded in steps of this many.
 COPIES_PER_STEP = 100_000
 # Largest key list that is broadcast, and what a listed row takes besides its key.
@@ -181,17 +182,25 @@ def key_digest() -> str:
 def hot_keys(both: Sides, hot_rows: int) -> list[int]:
     """Digests of the keys with at least ``hot_rows`` rows on the two sides together.
 
-    One pass over the key columns with a bounded frequent-items sketch: no key
-    is shuffled and at most HOT_KEYS digests come back. The list only decides
+    One pass over the key columns with a bounded frequent-items sketch per
+    task: no key is shuffled and at most HOT_KEYS digests come back. The
+    sketches are merged in lanes and the lanes once more, so that no single
+    task reads a sketch from every task of the scan. The list only decides
     which of two exact ways a key takes.
     """
     src, dest = (
         df.where("primary_key IS NOT NULL").selectExpr(f"{key_digest()} AS digest")
         for df in (both.src, both.dest)
     )
-    sketch = f"approx_top_k(digest, {HOT_KEYS}, {SKETCH_ITEMS}) AS top"
-    top = src.unionByName(dest).selectExpr(sketch).first()["top"]
-    return sorted(row["item"] for row in top if row["count"] >= hot_rows)
+    lanes = (
+        src.unionByName(dest)
+        .selectExpr("digest", f"pmod(spark_partition_id(), {SKETCH_LANES}) AS lane")
+        .groupBy("lane")
+        .agg(F.expr(f"approx_top_k_accumulate(digest, {SKETCH_ITEMS}) AS sketch"))
+    )
+    merged = f"approx_top_k_combine(sketch, {SKETCH_ITEMS})"
+    top = lanes.selectExpr(f"approx_top_k_estimate({merged}, {HOT_KEYS}) AS top").first()["top"]
+    return sorted(row["item"] for row in top or () if row["count"] >= hot_rows)
 
 
 def align(

@@ -32,7 +32,8 @@ def found(spark, a, b, **options):
 
 
 def key_of(record):
-    return (record["type"], record["primary_key"], record["column"] or "", record["occurrence"])
+    key = record["primary_key"] or ""
+    return (record["type"], key, record["column"] or "", record["occurrence"])
 
 
 def as_set(report):

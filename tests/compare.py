@@ -23,7 +23,7 @@ def _plain(value):
     if isinstance(value, Decimal):
         value = float(value)
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else float(f"{value:.9g}")
+        return "nan" if math.isnan(value) else value
     if isinstance(value, (datetime.date, datetime.datetime)):
         return value.isoformat()
     return value

@@ -254,7 +254,7 @@ def parse_numbers(spark, sf_dir):
         "CASE o_orderkey % 6 WHEN 0 THEN cast(o_totalprice AS string)"
         " WHEN 1 THEN concat(' ', cast(o_totalprice AS string), '\\t')"
         " WHEN 2 THEN concat('-', cast(o_totalprice AS string))"
-        " WHEN 3 THEN concat('+', cast(o_totalprice * 100 AS decimal(20,2)))"
+        " WHEN 3 THEN concat('+', cast(o_totalprice AS string), 'e0')"
         " WHEN 4 THEN concat(cast(o_totalprice AS string), 'd') ELSE o_orderpriority END"
     )
     rows = pairs.table(spark, sf_dir, "orders").select(

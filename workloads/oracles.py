@@ -271,9 +271,8 @@ def oracle_sql() -> dict[str, str]:
         " ELSE cast(cast(o_orderdate AS date) AS varchar) END AS day FROM orders"
     )
     sql["parse_numbers"] = (
-        "SELECT o_orderkey AS id, CASE WHEN o_orderkey % 6 IN (0, 1) THEN o_totalprice"
-        " WHEN o_orderkey % 6 = 2 THEN -o_totalprice WHEN o_orderkey % 6 = 3 THEN o_totalprice * 100"
-        " END AS number FROM orders"
+        "SELECT o_orderkey AS id, CASE WHEN o_orderkey % 6 IN (0, 1, 3) THEN o_totalprice"
+        " WHEN o_orderkey % 6 = 2 THEN -o_totalprice END AS number FROM orders"
     )
     sql["row_hash"] = _end(ORDERS, "SELECT id, h AS digest FROM src")
     sql["align_full_outer"] = _end(

@@ -7,6 +7,8 @@ day, an amount within the tolerance).
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +18,9 @@ ORDER_VALUES = ["amount", "status", "priority", "order_date"]
 LINE_VALUES = ["line", "quantity", "price", "flag"]
 
 
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; its schema is read once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

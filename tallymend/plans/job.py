@@ -13,7 +13,8 @@ from tallymend.operators import report as rep
 from tallymend.plans.durable import durable
 from tallymend.plans.scope import PARTITION, Scope
 from tallymend.sources import sinks
-from tallymend.sources.tables import read_side
+from tallymend.sources.jdbc import jdbc_options
+from tallymend.sources.tables import DATABASES, read_side
 
 
 def reconcile_tables(
@@ -88,6 +89,20 @@ def repair(
     )
 
 
+def store(found: DataFrame, job: Job) -> None:
+    """Upsert a report where the job's output says.
+
+    ``path`` is a versioned folder; ``table`` is a table next to the
+    destination, when that is a database.
+    """
+    out = job.output
+    if out.get("path"):
+        sinks.write_records(found, out["path"])
+    elif out.get("table") and job.destination.type in DATABASES:
+        table = f"{out['schema']}.{out['table']}" if out.get("schema") else out["table"]
+        sinks.merge_jdbc(found, jdbc_options(job.destination), table)
+
+
 def run(spark: SparkSession, job: Job, *, show: int = 0) -> Outcome:
     """Reconcile, record and, where the job asks for it, repair.
 
@@ -97,9 +112,7 @@ def run(spark: SparkSession, job: Job, *, show: int = 0) -> Outcome:
     found = durable(reconcile(spark, job))
     if show:
         rep.echo(found, show)
-    path = job.output.get("path")
-    if path:
-        sinks.write_records(found, path)
+    store(found, job)
     return repair(
         found,
         read_side(spark, job, job.destination),

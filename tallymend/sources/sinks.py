@@ -118,31 +118,60 @@ def create_table(spark: SparkSession, table: str, columns: Sequence[str]) -> Non
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({fields}) USING parquet")
 
 
-def jdbc_column_types(columns: Sequence[str], long_text: str) -> str:
-    """Column types for a JDBC discrepancy table: short keys, long values."""
-    return ", ".join(
-        f"`{c}` VARCHAR({KEY_LENGTH})" if c in PAIR_KEY else f"`{c}` {long_text}" for c in columns
-    )
+def jdbc_column_types(columns: Sequence[str]) -> str:
+    """Short types for the key columns of a database table; the rest stay long text."""
+    return ", ".join(f"`{c}` VARCHAR({KEY_LENGTH})" for c in columns if c in PAIR_KEY)
 
 
 def write_jdbc(
-    records: DataFrame,
-    options: dict[str, str],
-    table: str,
-    *,
-    mode: str = "append",
-    long_text: str = "VARCHAR(MAX)",
+    records: DataFrame, options: dict[str, str], table: str, *, mode: str = "append"
 ) -> None:
     """Write records to a database table, creating it if absent."""
-    (
-        records.write.format("jdbc")
-        .options(**options)
-        .option("dbtable", table)
-        .option("batchsize", WRITE_ROWS)
-        .option("createTableColumnTypes", jdbc_column_types(records.columns, long_text))
-        .mode(mode)
-        .save()
+    writer = records.write.format("jdbc").options(**options).option("dbtable", table)
+    short = jdbc_column_types(records.columns)
+    if short:
+        writer = writer.option("createTableColumnTypes", short)
+    writer.option("batchsize", WRITE_ROWS).mode(mode).save()
+
+
+def merge_statement(
+    table: str, staging: str, columns: Sequence[str], key: Sequence[str] = MERGE_KEY
+) -> str:
+    """The database's own upsert of a staging table, NULLs in the key included."""
+    key = [k for k in key if k in columns]
+
+    def name(c: str, side: str = "") -> str:
+        return f'{side}"{c}"'
+
+    on = " AND ".join(
+        f"({name(k, 't.')} = {name(k, 's.')} OR ({name(k, 't.')} IS NULL AND {name(k, 's.')} IS NULL))"
+        for k in key
     )
+    values = ", ".join(f"{name(c, 't.')} = {name(c, 's.')}" for c in columns if c not in key)
+    update = f" WHEN MATCHED THEN UPDATE SET {values}" if values else ""
+    return (
+        f"MERGE INTO {table} t USING {staging} s ON ({on}){update}"
+        f" WHEN NOT MATCHED THEN INSERT ({', '.join(name(c) for c in columns)})"
+        f" VALUES ({', '.join(name(c, 's.') for c in columns)});"
+    )
+
+
+def merge_jdbc(
+    records: DataFrame, options: dict[str, str], table: str, key: Sequence[str] = MERGE_KEY
+) -> None:
+    """Upsert records into a database table through a staging table.
+
+    Executors bulk-insert the staging table; the database then merges it, in
+    the session of a one-row read. Both steps may be repeated safely.
+    """
+    spark, staging = records.sparkSession, f"{table}_staging"
+    incoming = one_per_key(records, [k for k in key if k in records.columns])
+    write_jdbc(incoming.limit(0), options, table)
+    write_jdbc(incoming, options, staging, mode="overwrite")
+    merge = merge_statement(table, staging, incoming.columns, key)
+    spark.read.format("jdbc").options(**options).option("sessionInitStatement", merge).option(
+        "query", f"SELECT count(*) AS n FROM {staging}"
+    ).load().collect()
 
 
 def write_csv(records: DataFrame, path: str) -> bool:

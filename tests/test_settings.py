@@ -245,5 +245,17 @@ def test_table_is_created_once(spark):
 
 
 def test_jdbc_column_types():
-    types = sinks.jdbc_column_types(["primary_key", "source_value"], "VARCHAR(MAX)")
-    assert types == "`primary_key` VARCHAR(500), `source_value` VARCHAR(MAX)"
+    types = sinks.jdbc_column_types(["primary_key", "source_value"])
+    assert types == "`primary_key` VARCHAR(500)"
+    assert T.StructType.fromDDL(types).names == ["primary_key"]
+
+
+def test_merge_statement():
+    text = sinks.merge_statement("r.t", "r.t_staging", ["primary_key", "source_value"], sinks.PAIR_KEY)
+    assert text == (
+        "MERGE INTO r.t t USING r.t_staging s ON"
+        ' ((t."primary_key" = s."primary_key" OR (t."primary_key" IS NULL AND s."primary_key" IS NULL)))'
+        ' WHEN MATCHED THEN UPDATE SET t."source_value" = s."source_value"'
+        ' WHEN NOT MATCHED THEN INSERT ("primary_key", "source_value")'
+        ' VALUES (s."primary_key", s."source_value");'
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ def checkpoint_folder(spark: SparkSession) -> None:
         return
     named = context.getConf().get("spark.checkpoint.dir")
     if named is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="checkpoint-")
     context.setCheckpointDir(named)

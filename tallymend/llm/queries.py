@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymend.llm import licenses, mixture, secrets
+from tallymend.llm import byte_bpe, licenses, mixture, secrets, token_files
 from tallymend.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,14 @@ def op1_license_scan(spark, sf_dir):
     return licenses.digest(licenses.recognise(table(spark, sf_dir, "documents")))
 
 
+@query
+def op5_token_files(spark, sf_dir):
+    """Writes the files, then reads every document back from them."""
+    folder = token_files.new_folder(spark)
+    token_files.write_tokens(table(spark, sf_dir, "documents"), folder)
+    return token_files.digest(token_files.read_tokens(spark, folder))
+
+
 @query
 def op8_curriculum_mix(spark, sf_dir):
     """In training order; documents that are not taken come last."""
@@ -30,6 +38,12 @@ def op8_curriculum_mix(spark, sf_dir):
     return mixed.orderBy(mixed["position"].asc_nulls_last())
 
 
+@query
+def op9_byte_bpe(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return byte_bpe.digest(byte_bpe.decode(byte_bpe.encode(docs)))
+
+
 @query
 def op10_secret_scan(spark, sf_dir):
     return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymend.llm import byte_bpe, licenses, mixture, secrets, token_files
+from tallymend.llm import byte_bpe, licenses, mixture, secrets, token_files, toxicity
 from tallymend.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,12 @@ def op1_license_scan(spark, sf_dir):
     return licenses.digest(licenses.recognise(table(spark, sf_dir, "documents")))
 
 
+@query
+def op3_toxicity_chain(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.judge(docs, labels, carry=["doc_id"])
+
+
 @query
 def op5_token_files(spark, sf_dir):
     """Writes the files, then reads every document back from them."""
@@ -35,7 +41,7 @@ def op5_token_files(spark, sf_dir):
 def op8_curriculum_mix(spark, sf_dir):
     """In training order; documents that are not taken come last."""
     mixed = mixture.digest(mixture.assign(table(spark, sf_dir, "documents")))
-    return mixed.orderBy(mixed["position"].asc_nulls_last())
+    return mixed.orderBy(mixed["position"].asc_nulls_last(), "doc_id")
 
 
 @query

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,3 +50,20 @@ def _small_star(pairs: DataFrame) -> DataFrame:
     centre = pairs.groupBy("v").agg(F.min("u").alias("m"))
     moved = pairs.join(centre, "v").where("u <> m").select(F.col("m").alias("u"), F.col("u").alias("v"))
     return moved.union(centre.select(F.col("m").alias("u"), "v")).distinct()
+
+
+def local_forest(alike: np.ndarray, a: np.ndarray, b: np.ndarray) -> dict[int, int]:
+    """Every linked node to the smallest node of its component within the two tiles."""
+    label = {int(n): int(n) for n in (*a, *b)}
+    rows, columns = np.nonzero(alike)
+    mine, theirs = a.copy(), b.copy()
+    while True:
+        before = mine.sum() + theirs.sum()
+        np.minimum.at(mine, rows, theirs[columns])
+        np.minimum.at(theirs, columns, mine[rows])
+        if mine.sum() + theirs.sum() == before:
+            break
+    for nodes, found in ((a, mine), (b, theirs)):
+        for n, m in zip(nodes.tolist(), found.tolist(), strict=True):
+            label[n] = min(label[n], m)
+    return label

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymend.llm.graph import components
+from tallymend.llm.graph import components, local_forest
 from tallymend.plans.durable import durable
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+").findall
@@ -211,7 +211,7 @@ def _verify(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
     sets = lambda part: [np.frombuffer(s, "u8") for s in part["shingles"]]
     alike = tile_links(sets(mine), None if first == second else sets(theirs), threshold)
     a, b = mine["node"].to_numpy(), theirs["node"].to_numpy()
-    forest = _forest(alike, a, b)
+    forest = local_forest(alike, a, b)
     out = [(a, alike @ theirs["copies"].to_numpy("i8"))]
     if first != second:
         out.append((b, alike.T @ mine["copies"].to_numpy("i8")))
@@ -221,23 +221,6 @@ def _verify(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
     return pd.DataFrame({"node": node[kept], "links": links[kept], "u": u[kept]})
 
 
-def _forest(alike: np.ndarray, a: np.ndarray, b: np.ndarray) -> dict[int, int]:
-    """Every linked node to the smallest node of its component within the two tiles."""
-    label = {int(n): int(n) for n in (*a, *b)}
-    rows, columns = np.nonzero(alike)
-    mine, theirs = a.copy(), b.copy()
-    while True:
-        before = mine.sum() + theirs.sum()
-        np.minimum.at(mine, rows, theirs[columns])
-        np.minimum.at(theirs, columns, mine[rows])
-        if mine.sum() + theirs.sum() == before:
-            break
-    for nodes, found in ((a, mine), (b, theirs)):
-        for n, m in zip(nodes.tolist(), found.tolist(), strict=True):
-            label[n] = min(label[n], m)
-    return label
-
-
 def verified(
     docs: DataFrame, grouped: DataFrame, forest: Forest, key: str, text: str
 ) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymend.llm import byte_bpe, licenses, lsh_forest, mixture, secrets, token_files, toxicity
+from tallymend.llm import byte_bpe, itq, licenses, lsh_forest, mixture, secrets, token_files, toxicity
 from tallymend.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,11 @@ def op5_token_files(spark, sf_dir):
     return token_files.digest(token_files.read_tokens(spark, folder))
 
 
+@query
+def op6_itq_near_duplicates(spark, sf_dir):
+    return itq.join(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op7_jaccard_forest(spark, sf_dir):
     return lsh_forest.join(table(spark, sf_dir, "documents")).drop("text_hash")
@@ -63,6 +68,7 @@ def op10_secret_scan(spark, sf_dir):
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_license_scan": licenses.digest_sql(),
+        "op6_itq_near_duplicates": itq.digest_sql(),
         "op7_jaccard_forest": lsh_forest.digest_sql(),
         "op8_curriculum_mix": mixture.digest_sql(),
     }

@@ -170,12 +170,13 @@ def _tiled(coded: DataFrame, how: Quantiser) -> DataFrame:
 
 
 def met_tiles(tiled: DataFrame, how: Quantiser) -> DataFrame:
-    """(group, i, j): tiles of a group with codes that meet in some table.
+    """(group, i, j): each tile with itself, and tiles with codes that meet in some table.
 
     Per table and bit the substring without that bit is a key, so codes whose
     substrings differ in one bit at most share a key. Equal codes of a tile are
     one entry.
     """
+    itself = tiled.select("group", F.col("tile").alias("i"), F.col("tile").alias("j")).distinct()
     masks = [
         F.struct(
             F.lit(table * how.bits + bit).alias("table"),
@@ -227,7 +228,7 @@ def met_tiles(tiled: DataFrame, how: Quantiser) -> DataFrame:
         _meet(rest, radius, found)
         yield _pair_rows(found)
 
-    return met.mapInArrow(run, "group long, i long, j long").distinct()
+    return met.mapInArrow(run, "group long, i long, j long").union(itself).distinct()
 
 
 def _meet(rows: np.ndarray, radius: int, found: set[tuple[int, int, int]]) -> None:
@@ -246,7 +247,7 @@ def _meet(rows: np.ndarray, radius: int, found: set[tuple[int, int, int]]) -> No
             x, y = x[x != y], y[x != y]
             if len(x):
                 pairs = np.unique(np.stack([tile[x], tile[y]]), axis=1)
-                found.update((int(group[a]), i, j) for i, j in pairs.T.tolist() if i <= j)
+                found.update((int(group[a]), i, j) for i, j in pairs.T.tolist() if i < j)
 
 
 def _pair_rows(found: set[tuple[int, int, int]]) -> pa.RecordBatch:

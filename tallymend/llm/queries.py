@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymend.llm import byte_bpe, itq, licenses, lsh_forest, mixture, secrets, token_files, toxicity
+from tallymend.llm import byte_bpe, curves, itq, licenses, lsh_forest, mixture, secrets, token_files, toxicity
 from tallymend.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,11 @@ def op3_toxicity_chain(spark, sf_dir):
     return toxicity.judge(docs, labels, carry=["doc_id"])
 
 
+@query
+def op4_hilbert_neighbours(spark, sf_dir):
+    return curves.search(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op5_token_files(spark, sf_dir):
     """Writes the files, then reads every document back from them."""
@@ -68,6 +73,7 @@ def op10_secret_scan(spark, sf_dir):
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_license_scan": licenses.digest_sql(),
+        "op4_hilbert_neighbours": curves.digest_sql(),
         "op6_itq_near_duplicates": itq.digest_sql(),
         "op7_jaccard_forest": lsh_forest.digest_sql(),
         "op8_curriculum_mix": mixture.digest_sql(),

@@ -9,14 +9,27 @@ reread rows to the next.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallymend.llm import mixture, secrets
+from tallymend.llm import byte_bpe, lsh_forest, mixture, secrets, toxicity
 from tallymend.llm.common import table
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the chain of models calls toxic go."""
+    judged = toxicity.judge(docs, table(spark, sf_dir, "labels"), carry=docs.columns)
+    return judged.where("NOT toxic").select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by a five-word shingle similarity of 0.8 the one of least id stays."""
+    return lsh_forest.keep_one(docs)
+
+
 def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Credentials that are not widely copied examples are replaced by their kind."""
-    return secrets.redact(docs, secrets.find_secrets(docs))
+    cleaned = secrets.redact(docs, secrets.find_secrets(docs))
+    return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,9 +37,23 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixture.training_order(mixture.assign(docs)).select(*docs.columns)
 
 
+def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, decoded_sha256): the ids, and a hash of what they decode to."""
+    tokens = byte_bpe.decode(byte_bpe.encode(docs.select("doc_id", "text")))
+    return tokens.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_copies", drop_near_copies),
     ("secrets", scan_secrets),
     ("mixture", mix_sources),
+    ("byte_bpe", encode_bytes),
 ]
 
 # Two stages rest on trained models and hash sketches, which SQL does not express.

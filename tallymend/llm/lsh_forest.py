@@ -324,7 +324,7 @@ def keep_one(
     null_key = F.col("_key").isNull()
     met = own.where(~null_key).join(kept, ["_key", "_hash"], "left_semi")
     # A row without key stands for nobody else.
-    return met.union(own.where(null_key)).dropDuplicates(["_key", "_hash"]).select(*docs.columns)
+    return met.unionByName(own.where(null_key)).dropDuplicates(["_key", "_hash"]).select(*docs.columns)
 
 
 def digest_sql(forest: Forest = Forest()) -> str:

@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymend.llm import byte_bpe, curves, itq, licenses, lsh_forest, mixture, secrets, token_files, toxicity
+from tallymend.llm import (
+    byte_bpe,
+    curves,
+    itq,
+    licenses,
+    lsh_forest,
+    mixture,
+    repeats,
+    secrets,
+    token_files,
+    toxicity,
+)
 from tallymend.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +34,11 @@ def op1_license_scan(spark, sf_dir):
     return licenses.digest(licenses.recognise(table(spark, sf_dir, "documents")))
 
 
+@query
+def op2_repeat_removal(spark, sf_dir):
+    return repeats.digest(repeats.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 @query
 def op3_toxicity_chain(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")

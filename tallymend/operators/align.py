@@ -291,7 +291,23 @@ def _order(both: Sides) -> list[str]:
             order.append(f"coalesce(to_date({src.raw}), to_date({dest.raw}))")
         else:
             order.append(f"coalesce({src.text}, {dest.text})")
-    return [*order, "src", "dest"]
+    return [*order, "src", "dest", *_zero_signs(both)]
+
+
+def _zero_signs(both: Sides) -> list[str]:
+    """What tells rows apart that compare as equal: the sign of a zero.
+
+    Sorting and grouping take -0.0 and 0.0 for one value.
+    """
+    signs = []
+    for name, row in (("src", both.src_row), ("dest", both.dest_row)):
+        for field in row:
+            cell = path(name, field.name)
+            if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+                signs.append(f"coalesce({cell} = 0 AND cast({cell} AS string) LIKE '-%', false)")
+            elif isinstance(field.dataType, (T.ArrayType, T.StructType)):
+                signs.append(f"to_json(named_struct('v', {cell}))")
+    return signs
 
 
 def _number(both: Sides) -> DataFrame:
@@ -316,7 +332,15 @@ def _number_split(both: Sides) -> DataFrame:
     spark = both.src.sparkSession
     row = [*KEYS, "side", "src", "dest"]
     group = f"{BY_KEY}, side"
-    folded = _stack(both).groupBy(*row).agg(F.count("*").alias("copies"))
+    signs = [F.expr(sign).alias(f"sign_{i}") for i, sign in enumerate(_zero_signs(both))]
+    # Grouping rewrites -0.0 in its keys, so the rows themselves are carried along.
+    same = [F.col(c).alias(f"by_{c}") for c in ("src", "dest")]
+    folded = (
+        _stack(both)
+        .groupBy(*KEYS, "side", *same, *signs)
+        .agg(F.first("src").alias("src"), F.first("dest").alias("dest"), F.count("*").alias("copies"))
+        .select(*row, "copies")
+    )
     order = _order(both)
     names = [f"order_{i}" for i in range(len(order))]
     by_order = ", ".join(names)

@@ -19,6 +19,7 @@ from tallymend.functions.cells import NO_TEXT, Cell, apart, cells_equal, literal
 from tallymend.functions.hashing import row_hash
 from tallymend.operators.align import aligned_cell, matched_pairs
 
+CELL_FIELDS = ("column", "source_value", "dest_value", "source_raw", "dest_raw")
 PAIR_KEYS = ("year", "month", "week", "primary_key", "occurrence")
 
 
@@ -69,15 +70,7 @@ def hash_counts(aligned: DataFrame, columns: Sequence[str]) -> DataFrame:
 def differing_cells(
     aligned: DataFrame, columns: Sequence[str], options: Compare = Compare()
 ) -> str:
-    """ARRAY of the differing cells of a pair, in column order; NULL for none.
-
-    Equal digests imply equal cells, so a pair with a differing cell never has
-    equal digests: ``use_row_hash`` only adds the two digests to the cells.
-    """
-    src_hash, dest_hash = (
-        hashes(aligned, columns, "md5") if options.use_row_hash else (NO_TEXT, NO_TEXT)
-    )
-
+    """ARRAY of the differing cells of a pair, in column order; NULL for none."""
     flags = {c: differs(aligned, c, options) for c in columns}
 
     def entry(column: str) -> str:
@@ -85,8 +78,8 @@ def differing_cells(
         return (
             f"CASE WHEN {flags[column]} THEN array(named_struct('column', {literal(column)},"
             f" 'source_value', {s.canonical()}, 'dest_value', {d.canonical()},"
-            f" 'source_raw', {raw_text(s.raw, s.dtype)}, 'dest_raw', {raw_text(d.raw, d.dtype)},"
-            f" 'source_hash', {src_hash}, 'dest_hash', {dest_hash})) ELSE array() END"
+            f" 'source_raw', {raw_text(s.raw, s.dtype)}, 'dest_raw', {raw_text(d.raw, d.dtype)}"
+            f")) ELSE array() END"
         )
 
     if not columns:
@@ -95,14 +88,39 @@ def differing_cells(
     return f"CASE WHEN {any_flag} THEN concat({', '.join(entry(c) for c in columns)}) END"
 
 
+def with_digests(
+    aligned: DataFrame, rows: DataFrame, columns: Sequence[str], options: Compare, found: str
+) -> DataFrame:
+    """``rows`` of ``aligned`` with both digests, where ``found`` is not NULL.
+
+    Two columns per row, not two texts per cell. Equal digests imply equal
+    cells, so the digests never change which cells differ.
+    """
+    src_hash, dest_hash = (
+        hashes(aligned, columns, "md5") if options.use_row_hash else (NO_TEXT, NO_TEXT)
+    )
+    return rows.selectExpr(
+        "*",
+        *(
+            f"CASE WHEN {found} IS NOT NULL THEN {apart(digest, 'occurrence')} END AS {name}"
+            for name, digest in (("source_hash", src_hash), ("dest_hash", dest_hash))
+        ),
+    )
+
+
+def _differing_rows(aligned: DataFrame, columns: Sequence[str], options: Compare) -> DataFrame:
+    cells = apart(differing_cells(aligned, columns, options), "occurrence")
+    rows = matched_pairs(aligned).selectExpr("*", f"{cells} AS cells")
+    return with_digests(aligned, rows, columns, options, "cells")
+
+
 def diff(aligned: DataFrame, columns: Sequence[str], options: Compare = Compare()) -> DataFrame:
     """One row per differing cell."""
-    cells = apart(differing_cells(aligned, columns, options), "occurrence")
     return (
-        matched_pairs(aligned)
-        .selectExpr(*PAIR_KEYS, f"{cells} AS cells")
-        .selectExpr(*PAIR_KEYS, "inline_outer(cells)")
+        _differing_rows(aligned, columns, options)
+        .selectExpr(*PAIR_KEYS, "source_hash", "dest_hash", "inline_outer(cells)")
         .where("column IS NOT NULL")
+        .select(*PAIR_KEYS, *CELL_FIELDS, "source_hash", "dest_hash")
     )
 
 
@@ -110,18 +128,15 @@ def diff_nested(
     aligned: DataFrame, columns: Sequence[str], options: Compare = Compare()
 ) -> DataFrame:
     """One row per differing pair, its differences nested in column order."""
-    fields = ["column", "source_value", "dest_value"]
+    fields = [f"cell.{f} AS {f}" for f in ("column", "source_value", "dest_value")]
     if options.use_row_hash:
         fields += ["source_hash", "dest_hash"]
-    entry = ", ".join(f"cell.{f} AS {f}" for f in fields)
-    cells = apart(differing_cells(aligned, columns, options), "occurrence")
     return (
-        matched_pairs(aligned)
-        .selectExpr(*PAIR_KEYS, f"{cells} AS cells")
+        _differing_rows(aligned, columns, options)
         .where("cells IS NOT NULL")
         .selectExpr(
             "primary_key",
-            f"transform(cells, cell -> struct({entry})) AS mismatches",
+            f"transform(cells, cell -> struct({', '.join(fields)})) AS mismatches",
             "struct(year, month, week) AS partition",
         )
     )

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tallymend.config import Compare
 from tallymend.functions.cells import NO_TEXT, apart
-from tallymend.operators.diff import differing_cells
+from tallymend.operators.diff import differing_cells, with_digests
 
 MISMATCH, MISSING, EXTRA = "mismatch", "missing_in_dest", "extra_in_dest"
 
@@ -39,7 +39,7 @@ def _row_json(name: str) -> str:
 
 
 def _whole_row(source: str, dest: str) -> str:
-    absent = ("source_raw", "dest_raw", "source_hash", "dest_hash")
+    absent = ("source_raw", "dest_raw")
     return (
         f"array(named_struct('column', {NO_TEXT}, 'source_value', {source}, 'dest_value', {dest}, "
         + ", ".join(f"'{name}', {NO_TEXT}" for name in absent)
@@ -61,8 +61,11 @@ def report(aligned: DataFrame, columns: Sequence[str], options: Compare = Compar
     # A row without a key has no position; its content tells it apart.
     content = f"md5(coalesce({_row_json('src')}, {_row_json('dest')}))"
     fixed = ("primary_key", "type", "year", "month", "week", "occurrence")
+    rows = aligned.selectExpr("*", f"{apart(records, 'occurrence')} AS records")
+    pair = "CASE WHEN src IS NOT NULL AND dest IS NOT NULL THEN records END"
     return (
-        aligned.selectExpr(
+        with_digests(aligned, rows, columns, options, pair)
+        .selectExpr(
             "cast(primary_key AS string) AS primary_key",
             f"CASE WHEN dest IS NULL THEN '{MISSING}' WHEN src IS NULL THEN '{EXTRA}'"
             f" ELSE '{MISMATCH}' END AS type",
@@ -70,9 +73,11 @@ def report(aligned: DataFrame, columns: Sequence[str], options: Compare = Compar
             "month",
             "week",
             f"coalesce(cast(occurrence AS string), {content}) AS occurrence",
-            f"{apart(records, 'occurrence')} AS records",
+            "source_hash",
+            "dest_hash",
+            "records",
         )
-        .selectExpr(*fixed, "inline_outer(records)")
+        .selectExpr(*fixed, "source_hash", "dest_hash", "inline_outer(records)")
         .where(f"column IS NOT NULL OR type <> '{MISMATCH}'")
         .select(*REPORT_COLUMNS)
     )

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tallymend.config import Compare, Job
+from tallymend.functions.cells import TOLERANCE
 from tallymend.operators import align as al
 from tallymend.operators import repair as rp
 from tallymend.operators import report as rep
@@ -32,8 +33,8 @@ def reconcile_tables(
     aligned = al.align(
         both,
         unique_key=options.unique_key,
-        # Only equality at the digest's five decimals may drop rows early.
-        discard_equal_first=options.discard_equal_first and options.tolerance > 0,
+        # Equal digests mean equal to five decimals; a finer tolerance must see those rows.
+        discard_equal_first=options.discard_equal_first and options.tolerance >= TOLERANCE,
         hot_rows=options.hot_rows,
     )
     return rep.report(aligned, compared, options)

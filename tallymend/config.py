@@ -10,8 +10,25 @@ from typing import Any
 from tallymend.functions.cells import DATE_FORMS, TOLERANCE
 from tallymend.plans.scope import Scope
 
+# Names of the settings.
 REQUIRED_SECTIONS = ("source", "destination", "primary_key", "partitioning")
 
+KNOWN_COMPARISON = (
+    "include_nulls",
+    "only_columns",
+    "use_row_hash",
+    "aggressive_memory_cleanup",
+    "unique_key",
+    "tolerance",
+    "date_forms",
+    "hot_rows",
+    # Settings of worker pools, which Spark takes the place of.
+    "parallel",
+    "parallel_mode",
+    "workers",
+)
+KNOWN_UPDATES = ("dry_run", "skip_nulls", "auto_repair", "target")
+
 
 def read_env(names: Mapping[str, str]) -> dict[str, str]:
     """Values of the environment variables named in ``names``."""
@@ -75,6 +92,7 @@ class Job:
     dry_run: bool = True
     skip_nulls: bool = True
     auto_repair: bool = False
+    repair_target: str | None = None
     limit: int | None = None
     record: str | None = None
 
@@ -133,9 +151,15 @@ def job_from(raw: Mapping, *, resolve_env: bool = True, **arguments: Any) -> Job
         raise ValueError("the scope lists weeks but partitioning.week_column is not set")
 
     cmp = raw.get("comparison") or {}
+    updates = raw.get("updates") or {}
+    for section, given, known in (
+        ("comparison", cmp, KNOWN_COMPARISON),
+        ("updates", updates, KNOWN_UPDATES),
+    ):
+        if unknown := sorted(set(given) - set(known)):
+            raise KeyError(f"unknown settings in {section!r}: {', '.join(unknown)}")
     only = cmp.get("only_columns")
     use_hash = bool(cmp.get("use_row_hash", False))
-    updates = raw.get("updates") or {}
     limit = arguments.get("limit", raw.get("limit"))
     record = arguments.get("record", raw.get("record"))
     return Job(
@@ -152,11 +176,15 @@ def job_from(raw: Mapping, *, resolve_env: bool = True, **arguments: Any) -> Job
             use_row_hash=use_hash,
             discard_equal_first=use_hash and bool(cmp.get("aggressive_memory_cleanup", False)),
             unique_key=bool(cmp.get("unique_key", False)),
+            tolerance=float(cmp.get("tolerance", TOLERANCE)),
+            date_forms=tuple((str(day), str(form)) for day, form in cmp.get("date_forms", DATE_FORMS)),
+            hot_rows=int(cmp["hot_rows"]) if cmp.get("hot_rows") else Compare.hot_rows,
         ),
         output=dict(raw.get("output") or {}),
         dry_run=not arguments["apply"] if "apply" in arguments else bool(updates.get("dry_run", True)),
         skip_nulls=bool(updates.get("skip_nulls", True)),
         auto_repair=bool(updates.get("auto_repair", False)),
+        repair_target=str(updates["target"]) if updates.get("target") else None,
         limit=int(limit) if limit else None,
         record=str(record) if record is not None and record != "" else None,
     )

@@ -219,24 +219,42 @@ def align(
     ``hot_rows`` sets from how many rows on a key its numbering is split over
     the cluster; None skips looking for such keys.
     """
-    hot = hot_keys(both, hot_rows) if hot_rows and not unique_key else []
     keyed = _drop_equal_keys(both) if discard_equal_first else both
     keyed = keyed.where("primary_key IS NOT NULL")
     if unique_key:
         parts = [_pair_unique(keyed)]
-    elif not hot:
-        parts = [_pair(_number(keyed))]
     else:
-        is_hot = f"{key_digest()} IN ({', '.join(f'{h}L' for h in hot)})"
-        parts = [
-            _pair(_number(keyed.where(f"NOT {is_hot}"))),
-            _pair(_number_split(keyed.where(is_hot))),
-        ]
+        parts = [_pair(part) for part in _numbered(keyed, hot_rows)]
     layout = parts[0].schema
     parts += [_without_key(both, name, layout) for name in ("src", "dest")]
     return reduce(DataFrame.unionByName, parts)
 
 
+def _numbered(keyed: Sides, hot_rows: int | None) -> list[DataFrame]:
+    """Numbered rows: of the keys one task can number, and of those split over many."""
+    hot = hot_keys(keyed, hot_rows) if hot_rows else []
+    if not hot:
+        return [_number(keyed)]
+    is_hot = f"{key_digest()} IN ({', '.join(f'{h}L' for h in hot)})"
+    return [_number(keyed.where(f"NOT {is_hot}")), _number_split(keyed.where(is_hot))]
+
+
+def number_rows(
+    table: DataFrame,
+    key: str,
+    columns: Sequence[str] | None = None,
+    hot_rows: int | None = 1_000_000,
+) -> DataFrame:
+    """One partition-tagged table with the numbers its rows get as a destination.
+
+    KEYS, ``dest`` and ``occurrence``; rows without a key have no number and
+    are left out. ``columns`` are the compared ones, in the order of the report.
+    """
+    keyed = sides(table.limit(0), table, key, columns).where("primary_key IS NOT NULL")
+    parts = [p.select(*KEYS, "dest", "occurrence") for p in _numbered(keyed, hot_rows)]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _without_key(both: Sides, name: str, layout: T.StructType) -> DataFrame:
     """Rows of one side that have no key; they meet no shuffle at all."""
     df = (both.src if name == "src" else both.dest).where("primary_key IS NULL")

@@ -10,12 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymend.functions.cells import literal
+from tallymend.functions.cells import TOLERANCE, cell_equal, literal, orderable, path, raw_text
 from tallymend.functions.labels import update_label
+from tallymend.operators.align import number_rows
 from tallymend.operators.report import MISMATCH
 from tallymend.plans.scope import PARTITION, Scope
 
-PLAN_KEYS = ("primary_key", "year", "month", "week")
+PLAN_KEYS = ("primary_key", "year", "month", "week", "occurrence")
 
 
 def candidates(found: DataFrame, scope: Scope | None = None) -> DataFrame:
@@ -54,11 +55,13 @@ def plan_repairs(
     *,
     skip_nulls: bool = True,
     scope: Scope | None = None,
+    tolerance: float = TOLERANCE,
 ) -> DataFrame:
     """The updates a repair would make; showing it is the dry run.
 
-    One row per key, partition and column. Values that cannot take the
-    destination column's type are left out and so stay in the report.
+    One row per key, partition, occurrence and column. A value that the
+    destination column's type would change beyond the tolerance is left out
+    and so stays in the report.
     """
     chosen = candidates(found, scope)
     if skip_nulls:
@@ -68,16 +71,18 @@ def plan_repairs(
         if field.name not in PARTITION:
             ok = "source_raw IS NULL"
             if _assignable(field.dataType):
-                ok += f" OR try_cast(source_raw AS {field.dataType.simpleString()}) IS NOT NULL"
+                written = f"try_cast(source_raw AS {field.dataType.simpleString()})"
+                same = cell_equal("source_raw", T.StringType(), written, field.dataType, tolerance)
+                ok += f" OR ({written} IS NOT NULL AND {same})"
             fits += f" WHEN {literal(field.name)} THEN {ok}"
     fits += " ELSE false END"
-    # Duplicate keys may report several values for one cell; the smallest wins.
-    value = F.min(F.struct("source_raw", "source_value", "dest_value")).alias("v")
+    # A report holds a cell once; of repeated records the smallest counts.
+    value = F.min(F.struct("source_raw", "source_value", "dest_value", "dest_raw")).alias("v")
     return (
         chosen.where(fits)
         .groupBy(*PLAN_KEYS, "column")
         .agg(value)
-        .select(*PLAN_KEYS, "column", "v.source_raw", "v.source_value", "v.dest_value")
+        .select(*PLAN_KEYS, "column", "v.*")
     )
 
 
@@ -86,45 +91,62 @@ def _assignable(dtype: T.DataType) -> bool:
     return isinstance(dtype, T.AtomicType) and not isinstance(dtype, (T.BinaryType, T.VariantType))
 
 
-def _dest_match(dest: DataFrame, other: DataFrame) -> Column:
+def _numbered(dest: DataFrame, key: str, columns: Sequence[str] | None) -> DataFrame:
+    compared = [c for c in columns or dest.columns if c not in (key, *PARTITION)]
+    return number_rows(dest, key, compared)
+
+
+def _meets(rows: DataFrame, other: DataFrame, key_type: T.DataType) -> Column:
+    """Whether a numbered row is the one that a plan's row names."""
     return reduce(
         and_,
-        [dest["match_key"] == other["match_key"]]
-        + [dest[p].eqNullSafe(other[n]) for p, n in zip(PARTITION, PLAN_KEYS[1:], strict=True)],
+        [
+            rows["primary_key"] == key_from_text(other["primary_key"], key_type),
+            rows["occurrence"].cast("string") == other["occurrence"],
+        ]
+        + [rows[n].eqNullSafe(other[n]) for n in ("year", "month", "week")],
     )
 
 
+def _now(row: T.StructType, column: str) -> str:
+    """The text a report would give for the cell as the row holds it."""
+    return raw_text(path("dest", column), row[column].dataType)
+
+
 def apply_repairs(
     dest: DataFrame, plan: DataFrame, key: str, columns: Sequence[str] | None = None
 ) -> DataFrame:
     """The destination with every planned value written, in one join.
 
-    The plan is pivoted to one row per key with a field per column, so all
-    columns are updated together and the destination is read once. A field is
-    a struct: NULL means no update, a struct holding NULL means set to NULL.
+    The rows of a key are numbered as they were for the report, so a repeated
+    key's updates meet the rows they were found in; ``columns`` are the
+    compared ones, in the report's order. A cell is written only if it still
+    holds what the report saw. The plan is pivoted to one row per key and
+    number with a field per column, so all columns are updated together.
     """
-    fixed = {key, *PARTITION}
-    columns = [c for c in (columns or dest.columns) if c not in fixed]
-    key_type = dest.schema[key].dataType
-    fixes = (
-        plan.groupBy(*PLAN_KEYS)
-        .agg(
-            *(
-                F.max(F.when(F.col("column") == c, F.struct("source_raw"))).alias(f"fix_{i}")
-                for i, c in enumerate(columns)
-            )
+    rows = _numbered(dest, key, columns)
+    row = rows.schema["dest"].dataType
+    values = [c for c in dest.columns if c not in (key, *PARTITION)]
+    fixes = plan.groupBy(*PLAN_KEYS).agg(
+        *(
+            F.max(F.when(F.col("column") == c, F.struct("source_raw", "dest_raw"))).alias(f"fix_{i}")
+            for i, c in enumerate(values)
         )
-        .withColumn("match_key", key_from_text(F.col("primary_key"), key_type))
     )
-    keyed = dest.withColumn("match_key", F.col(key))
-    joined = keyed.join(fixes, _dest_match(keyed, fixes), "left")
-    updated = {
-        c: F.when(
-            fixes[f"fix_{i}"].isNotNull(), _assigned(fixes[f"fix_{i}"]["source_raw"], dest, c)
-        ).otherwise(keyed[c])
-        for i, c in enumerate(columns)
-    }
-    return joined.select(*(updated.get(c, keyed[c]).alias(c) for c in dest.columns))
+    joined = rows.join(fixes, _meets(rows, fixes, dest.schema[key].dataType), "left").select(
+        *(rows[p].alias(name) for p, name in zip(("year", "month", "week"), PARTITION, strict=True)),
+        "dest",
+        *(f"fix_{i}" for i in range(len(values))),
+    )
+    updated = {p: F.col(p) for p in PARTITION} | {key: F.col("dest")[key]}
+    for i, c in enumerate(values):
+        own, fix = F.col("dest")[c], F.col(f"fix_{i}")
+        if not orderable(dest.schema[c].dataType):
+            own = F.from_json(own, dest.schema[c].dataType.simpleString())
+        as_seen = fix.isNotNull() & F.expr(_now(row, c)).eqNullSafe(fix["dest_raw"])
+        updated[c] = F.when(as_seen, _assigned(fix["source_raw"], dest, c)).otherwise(own)
+    changed = joined.select(*(updated[c].alias(c) for c in dest.columns))
+    return changed.unionByName(dest.where(F.col(key).isNull()))
 
 
 def _assigned(raw: Column, dest: DataFrame, column: str) -> Column:
@@ -132,44 +154,49 @@ def _assigned(raw: Column, dest: DataFrame, column: str) -> Column:
     return raw.try_cast(dtype) if _assignable(dtype) else F.lit(None).cast(dtype)
 
 
-def _updates(plan: DataFrame, dest: DataFrame, key: str) -> DataFrame:
-    """Planned updates that meet a destination row, with the rows they change.
-
-    The destination is cut to the planned keys before it is counted, and the
-    count folds before its shuffle.
-    """
-    planned = plan.withColumn(
-        "match_key", key_from_text(F.col("primary_key"), dest.schema[key].dataType)
+def _updates(
+    plan: DataFrame, dest: DataFrame, key: str, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Planned updates that meet a destination row which still holds what was seen."""
+    rows = _numbered(dest, key, columns)
+    row = rows.schema["dest"].dataType
+    now = "CASE column " + " ".join(
+        f"WHEN {literal(f.name)} THEN {_now(row, f.name)}" for f in row if f.name != key
     )
-    keys = planned.select("match_key", *PLAN_KEYS[1:]).distinct()
-    keyed = dest.select(F.col(key).alias("match_key"), *PARTITION)
-    hit = keyed.join(keys, _dest_match(keyed, keys), "left_semi")
-    counted = hit.groupBy("match_key", *PARTITION).agg(F.count("*").alias("dest_rows"))
-    return planned.join(counted, _dest_match(counted, planned)).select(
-        *(planned[c] for c in (*PLAN_KEYS, "column")), "dest_rows"
+    met = rows.join(plan, _meets(rows, plan, dest.schema[key].dataType)).select(
+        *(plan[c] for c in (*PLAN_KEYS, "column", "dest_raw")), "dest"
     )
+    return met.where(F.expr(f"{now} END").eqNullSafe(F.col("dest_raw"))).select(*PLAN_KEYS, "column")
 
 
-def purge_repaired(found: DataFrame, plan: DataFrame, dest: DataFrame, key: str) -> DataFrame:
-    """The report without the records whose update met a destination row."""
-    done = _updates(plan, dest, key)
+def purge_repaired(
+    found: DataFrame,
+    plan: DataFrame,
+    dest: DataFrame,
+    key: str,
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """The report without the records whose update was written."""
+    done = _updates(plan, dest, key, columns)
     repaired = reduce(
         and_,
         [found["type"] == MISMATCH]
-        + [found[n] == done[n] for n in ("primary_key", "column")]
-        + [found[n].eqNullSafe(done[n]) for n in PLAN_KEYS[1:]],
+        + [found[n] == done[n] for n in ("primary_key", "column", "occurrence")]
+        + [found[n].eqNullSafe(done[n]) for n in ("year", "month", "week")],
     )
     return found.join(done, repaired, "left_anti")
 
 
-def repair_summary(plan: DataFrame, dest: DataFrame, key: str) -> DataFrame:
+def repair_summary(
+    plan: DataFrame, dest: DataFrame, key: str, columns: Sequence[str] | None = None
+) -> DataFrame:
     """Destination rows updated per partition and column.
 
     A NULL column marks a partition's total, a NULL partition the run's.
     """
     return (
-        _updates(plan, dest, key)
-        .selectExpr(f"{update_label()} AS partition", "column", "dest_rows")
+        _updates(plan, dest, key, columns)
+        .selectExpr(f"{update_label()} AS partition", "column")
         .rollup("partition", "column")
-        .agg(F.sum("dest_rows").alias("rows_updated"))
+        .agg(F.count("*").alias("rows_updated"))
     )

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallymend.config import Compare, Job
 from tallymend.functions.cells import TOLERANCE
@@ -12,10 +13,10 @@ from tallymend.operators import align as al
 from tallymend.operators import repair as rp
 from tallymend.operators import report as rep
 from tallymend.plans.durable import durable
-from tallymend.plans.scope import PARTITION, Scope
+from tallymend.plans.scope import PARTITION, Scope, tag_partition
 from tallymend.sources import sinks
 from tallymend.sources.jdbc import jdbc_options
-from tallymend.sources.tables import DATABASES, read_side
+from tallymend.sources.tables import DATABASES, load, read_side
 
 
 def reconcile_tables(
@@ -55,13 +56,15 @@ def reconcile(spark: SparkSession, job: Job) -> DataFrame:
 class Outcome:
     """What a run found, what it would change, and the changed tables.
 
-    After a dry run ``repaired`` is None and ``remaining`` equals ``found``.
+    After a dry run ``repaired`` and ``summary`` are None and ``remaining``
+    equals ``found``.
     """
 
     found: DataFrame
     plan: DataFrame
     repaired: DataFrame | None
     remaining: DataFrame
+    summary: DataFrame | None = None
 
 
 def repair(
@@ -69,14 +72,16 @@ def repair(
     dest: DataFrame,
     key: str,
     *,
+    columns: list[str] | None = None,
     dry_run: bool = True,
     skip_nulls: bool = True,
     scope: Scope | None = None,
 ) -> Outcome:
-    """Plan the repairs of a report and, unless it is a dry run, apply them.
+    """Plan the repairs of a report and, unless it is a dry run, apply them to ``dest``.
 
-    ``dest`` is partition-tagged. Nothing is written: the caller stores
-    ``repaired`` as a new version of the table.
+    ``dest`` is partition-tagged; ``columns`` are the compared ones, in the
+    report's order. Nothing is written: ``repaired`` holds the rows and columns
+    of ``dest``, and of nothing else (see ``repair_destination``).
     """
     plan = rp.plan_repairs(found, dest, skip_nulls=skip_nulls, scope=scope)
     if dry_run:
@@ -85,11 +90,87 @@ def repair(
     return Outcome(
         found,
         plan,
-        rp.apply_repairs(dest, plan, key),
-        rp.purge_repaired(found, plan, dest, key),
+        rp.apply_repairs(dest, plan, key, columns),
+        rp.purge_repaired(found, plan, dest, key, columns),
+        rp.repair_summary(plan, dest, key, columns),
     )
 
 
+OTHER = "other column "
+
+
+def whole_destination(spark: SparkSession, job: Job) -> tuple[DataFrame, DataFrame, list[str]]:
+    """All rows and columns of the destination: in scope and tagged, out of scope, physical order.
+
+    Mapped columns go under their logical names; the others under a name that
+    no logical column has.
+    """
+    side, scope = job.destination, job.scope if job.scope.entries else None
+    table = load(spark, side, None, side.columns[job.primary_key], ("", "", None))
+    logical = {physical.lower(): name for name, physical in side.columns.items()}
+    names = [logical.get(c.lower(), OTHER + c) for c in table.columns]
+    # Mapped columns first: ties between rows break as they did for the report.
+    mapped = [n for n in side.columns if n in names]
+    renamed = table.toDF(*names).select(*mapped, *(n for n in names if n not in mapped))
+
+    def here(column: str | None) -> str | None:
+        return column if column is None or column in names else OTHER + column
+
+    year, month, week = map(here, (job.year_column, job.month_column, job.week_column))
+    inside = tag_partition(renamed, year, month, week, scope)
+    if scope is None:
+        return inside, renamed.limit(0), names
+    outside = ~F.coalesce(scope.predicate(renamed.schema, year, month, week), F.lit(False))
+    return inside, renamed.where(outside), names
+
+
+def repair_destination(spark: SparkSession, job: Job, found: DataFrame | None = None) -> Outcome:
+    """Repair a job's destination from a report, by default the stored one.
+
+    ``repaired`` is the whole destination: every row, also out of scope, limit
+    or record, and every column under its own name. Unless the job is a dry
+    run, ``apply_to`` can store it, and the stored report loses what was
+    repaired.
+    """
+    path = job.output.get("path")
+    if found is None:
+        found = sinks.read_latest(spark, path) if path else None
+        if found is None:
+            raise ValueError("there is no stored report to repair from")
+    inside, outside, names = whole_destination(spark, job)
+    outcome = repair(
+        found,
+        inside,
+        job.primary_key,
+        columns=job.compare.columns(job.value_columns()),
+        dry_run=job.dry_run,
+        skip_nulls=job.skip_nulls,
+        scope=job.scope if job.scope.entries else None,
+    )
+    if outcome.repaired is None:
+        return outcome
+    whole = outcome.repaired.drop(*PARTITION).unionByName(outside).select(*(f"`{n}`" for n in names))
+    physical = [job.destination.columns.get(n, n.removeprefix(OTHER)) for n in names]
+    remaining = durable(outcome.remaining)
+    if path:
+        sinks.write_version(remaining, path)
+    return replace(outcome, repaired=whole.toDF(*physical), remaining=remaining)
+
+
+def apply_to(outcome: Outcome, target: str, *, table: bool = False) -> None:
+    """Store the repaired destination as a new version of a folder, or as a catalog table.
+
+    The tables that were read stay as they are: a version is named only when it
+    is complete, and a catalog table of another name is written anew.
+    """
+    if outcome.repaired is None:
+        raise ValueError("a dry run has nothing to store")
+    if table:
+        outcome.repaired.write.mode("overwrite").saveAsTable(target)
+    else:
+        sinks.write_version(outcome.repaired, target)
+
+
 def store(found: DataFrame, job: Job) -> None:
     """Upsert a report where the job's output says.
 
@@ -108,17 +189,15 @@ def run(spark: SparkSession, job: Job, *, show: int = 0) -> Outcome:
     """Reconcile, record and, where the job asks for it, repair.
 
     The report is written once and read back, so that showing, upserting,
-    planning and purging do not align the tables again.
+    planning and purging do not align the tables again. An applied repair
+    covers the whole destination; ``updates.target`` names a folder to store it.
     """
     found = durable(reconcile(spark, job))
     if show:
         rep.echo(found, show)
     store(found, job)
-    return repair(
-        found,
-        read_side(spark, job, job.destination),
-        job.primary_key,
-        dry_run=job.dry_run or not job.auto_repair,
-        skip_nulls=job.skip_nulls,
-        scope=job.scope if job.scope.entries else None,
-    )
+    job = replace(job, dry_run=job.dry_run or not job.auto_repair)
+    outcome = repair_destination(spark, job, found)
+    if outcome.repaired is not None and job.repair_target:
+        apply_to(outcome, job.repair_target)
+    return outcome

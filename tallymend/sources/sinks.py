@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
@@ -38,11 +39,16 @@ def one_per_key(records: DataFrame, key: Sequence[str] = MERGE_KEY) -> DataFrame
 def upsert(existing: DataFrame, new: DataFrame, key: Sequence[str] = MERGE_KEY) -> DataFrame:
     """``existing`` with the records of ``new`` updated or added.
 
-    Upserting the same records again changes nothing.
+    One aggregate over both, so each is read once; a new record wins over an
+    existing one. Upserting the same records again changes nothing.
     """
-    incoming = one_per_key(new, key)
-    untouched = existing.join(incoming, same_record(existing, incoming, key), "left_anti")
-    return untouched.unionByName(incoming)
+    columns = existing.columns
+    rest = [c for c in columns if c not in key]
+    both = existing.withColumn("is_new", F.lit(False)).unionByName(
+        new.select(*columns).withColumn("is_new", F.lit(True))
+    )
+    kept = both.groupBy(*key).agg(F.max(F.struct("is_new", *rest)).alias("kept"))
+    return kept.select(*(F.col(c) if c in key else F.col("kept")[c].alias(c) for c in columns))
 
 
 def write_records(records: DataFrame, path: str, key: Sequence[str] = MERGE_KEY) -> None:
@@ -118,9 +124,23 @@ def create_table(spark: SparkSession, table: str, columns: Sequence[str]) -> Non
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({fields}) USING parquet")
 
 
-def jdbc_column_types(columns: Sequence[str]) -> str:
-    """Short types for the key columns of a database table; the rest stay long text."""
-    return ", ".join(f"`{c}` VARCHAR({KEY_LENGTH})" for c in columns if c in PAIR_KEY)
+def dialect_of(options: Mapping[str, str]) -> str:
+    """``oracle``, ``sqlserver`` or another name, from the connection's address."""
+    return options.get("url", "").removeprefix("jdbc:").partition(":")[0]
+
+
+# How long a VARCHAR column of the dialect can be.
+LONGEST = {"oracle": 4000, "sqlserver": 8000}
+
+
+def jdbc_column_types(columns: Sequence[str], dialect: str = "") -> str:
+    """Short types for the key columns of a database table, the longest for the rest.
+
+    Oracle's default for text is 255 characters. A whole row longer than the
+    dialect's limit needs a table made beforehand.
+    """
+    lengths = {c: KEY_LENGTH if c in PAIR_KEY else LONGEST.get(dialect) for c in columns}
+    return ", ".join(f"`{c}` VARCHAR({n})" for c, n in lengths.items() if n)
 
 
 def write_jdbc(
@@ -128,16 +148,23 @@ def write_jdbc(
 ) -> None:
     """Write records to a database table, creating it if absent."""
     writer = records.write.format("jdbc").options(**options).option("dbtable", table)
-    short = jdbc_column_types(records.columns)
+    short = jdbc_column_types(records.columns, dialect_of(options))
     if short:
         writer = writer.option("createTableColumnTypes", short)
     writer.option("batchsize", WRITE_ROWS).mode(mode).save()
 
 
 def merge_statement(
-    table: str, staging: str, columns: Sequence[str], key: Sequence[str] = MERGE_KEY
+    table: str,
+    staging: str,
+    columns: Sequence[str],
+    key: Sequence[str] = MERGE_KEY,
+    dialect: str = "sqlserver",
 ) -> str:
-    """The database's own upsert of a staging table, NULLs in the key included."""
+    """The database's own upsert of a staging table, NULLs in the key included.
+
+    SQL Server wants the statement ended, Oracle's driver refuses the end.
+    """
     key = [k for k in key if k in columns]
 
     def name(c: str, side: str = "") -> str:
@@ -152,7 +179,8 @@ def merge_statement(
     return (
         f"MERGE INTO {table} t USING {staging} s ON ({on}){update}"
         f" WHEN NOT MATCHED THEN INSERT ({', '.join(name(c) for c in columns)})"
-        f" VALUES ({', '.join(name(c, 's.') for c in columns)});"
+        f" VALUES ({', '.join(name(c, 's.') for c in columns)})"
+        + (";" if dialect == "sqlserver" else "")
     )
 
 
@@ -162,16 +190,18 @@ def merge_jdbc(
     """Upsert records into a database table through a staging table.
 
     Executors bulk-insert the staging table; the database then merges it, in
-    the session of a one-row read. Both steps may be repeated safely.
+    the session of a one-row read, and drops it in another's.
     """
-    spark, staging = records.sparkSession, f"{table}_staging"
+    # A name of its own, so that two runs do not overwrite each other's rows.
+    spark, staging = records.sparkSession, f"{table}_{uuid.uuid4().hex[:8]}"
     incoming = one_per_key(records, [k for k in key if k in records.columns])
     write_jdbc(incoming.limit(0), options, table)
     write_jdbc(incoming, options, staging, mode="overwrite")
-    merge = merge_statement(table, staging, incoming.columns, key)
-    spark.read.format("jdbc").options(**options).option("sessionInitStatement", merge).option(
-        "query", f"SELECT count(*) AS n FROM {staging}"
-    ).load().collect()
+    merge = merge_statement(table, staging, incoming.columns, key, dialect_of(options))
+    for statement, counted in ((merge, staging), (f"DROP TABLE {staging}", table)):
+        spark.read.format("jdbc").options(**options).option("sessionInitStatement", statement).option(
+            "query", f"SELECT count(*) AS n FROM {counted}"
+        ).load().collect()
 
 
 def write_csv(records: DataFrame, path: str) -> bool:

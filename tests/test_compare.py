@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -221,14 +223,61 @@ def test_repair_writes_raw_values_and_skips_what_does_not_fit(spark):
     assert [r["column"] for r in outcome.remaining.collect()] == ["num"]
 
 
-def test_repair_summary_counts_destination_rows(spark):
-    a = rows_of([(1, "a", 1.0), (1, "a", 1.0)])
-    b = rows_of([(1, "b", 1.0), (1, "b", 1.0)])
+def test_repeated_keys_are_repaired_row_by_row(spark):
+    """Only the row that differs changes, and a second comparison finds nothing."""
+    a = rows_of([(1, "a", 1.0), (1, "b", 1.0)])
+    b = rows_of([(1, "a", 1.0), (1, "c", 1.0)])
     dest = make(spark, b)
-    plan = rp.plan_repairs(found(spark, a, b), dest)
-    assert plan.count() == 1
-    totals = {(r["partition"], r["column"]): r["rows_updated"] for r in rp.repair_summary(plan, dest, "id").collect()}
-    assert totals == {("2024-05", "val"): 2, ("2024-05", None): 2, (None, None): 2}
+    outcome = repair(found(spark, a, b), dest, "id", columns=["val", "num"], dry_run=False)
+    assert sorted(r["val"] for r in outcome.repaired.collect()) == ["a", "b"]
+    assert outcome.remaining.count() == 0
+    totals = {(r["partition"], r["column"]): r["rows_updated"] for r in outcome.summary.collect()}
+    assert totals == {("2024-05", "val"): 1, ("2024-05", None): 1, (None, None): 1}
+    again = reconcile_tables(make(spark, a), outcome.repaired, "id", ["val", "num"])
+    assert again.count() == 0
+
+
+def test_a_value_that_the_column_would_change_stays_reported(spark):
+    src = make(spark, [(1, "2024", "05", "x", "1.005")], "id long, year string, month string, val string, num string")
+    dest = make(spark, [(1, "2024", "05", "x", Decimal(7))], "id long, year string, month string, val string, num decimal(10,2)")
+    report = reconcile_tables(src, dest, "id", ["val", "num"])
+    outcome = repair(report, dest, "id", dry_run=False)
+    assert [r["column"] for r in outcome.remaining.collect()] == ["num"]
+    assert float(outcome.repaired.first()["num"]) == 7.0
+
+
+def test_a_fine_tolerance_sees_what_the_digest_does_not(spark):
+    a, b = rows_of([(1, "a", 1.000001)]), rows_of([(1, "a", 1.000003)])
+    options = {"tolerance": 1e-7, "use_row_hash": True}
+    for first in (False, True):
+        compare = Compare(discard_equal_first=first, **options)
+        assert reconcile_tables(make(spark, a), make(spark, b), "id", ["val", "num"], compare).count() == 1
+
+
+def test_split_keys_keep_the_sign_of_zero(spark):
+    """Numbering over many tasks gives the rows and numbers of the plain way."""
+    a = rows_of([(1, "a", 0.0), (1, "a", -0.0), (1, "a", -0.0), (1, "b", 2.0)])
+    b = rows_of([(1, "a", -0.0), (1, "a", 0.0), (1, "a", 5.0)])
+    reports = [
+        reconcile_tables(make(spark, a), make(spark, b), "id", ["val", "num"], Compare(hot_rows=hot))
+        for hot in (None, 2)
+    ]
+    assert as_set(reports[0]) == as_set(reports[1])
+
+
+def test_cost_of_digests_is_linear_in_width(spark):
+    """The plan of a wide report grows as its columns do, digests included."""
+
+    def size(width):
+        names = [f"c{i}" for i in range(width)]
+        schema = "id long, year string, month string, " + ", ".join(f"{n} string" for n in names)
+        table = make(spark, [(1, "2024", "05", *["x"] * width)], schema)
+        compare = Compare(use_row_hash=True, unique_key=True)
+        plan = reconcile_tables(table, table, "id", names, compare)._jdf.queryExecution().logical()
+        return sum(len(str(e)) for e in [plan.toString()])
+
+    spark.conf.set("spark.sql.debug.maxToStringFields", "100000")
+    assert size(32) < 2.6 * size(16)
 
 
 def test_second_upsert_changes_nothing(spark):

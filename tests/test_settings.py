@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from tallymend import Scope, job_from, run
 from tallymend.config import Side, load_job, read_env
+from tallymend.plans.job import apply_to, repair_destination
 from tallymend.plans.scope import expand_scope, tag_partition
 from tallymend.sources import jdbc, sinks
 from tallymend.sources import tables as tb
@@ -214,11 +215,53 @@ def test_run_from_files(spark, tmp_path):
     )
     for _ in range(2):
         outcome = run(spark, job)
-    stored = sinks.read_latest(spark, str(tmp_path / "out")).collect()
-    assert [(r["type"], r["primary_key"], r["week"]) for r in stored] == [("mismatch", "1", "1")]
-    assert sinks.latest_version(spark, str(tmp_path / "out")) == 2
-    assert {r["id"]: r["val"] for r in outcome.repaired.collect()} == {1: "a", 3: "c"}
+    found = [(r["type"], r["primary_key"], r["week"]) for r in outcome.found.collect()]
+    assert found == [("mismatch", "1", "1")]
+    # Each run stores its report, and then what is left of it.
+    assert sinks.latest_version(spark, str(tmp_path / "out")) == 4
+    assert sinks.read_latest(spark, str(tmp_path / "out")).count() == 0
     assert outcome.remaining.count() == 0
+    assert {r["id"]: r["val"] for r in outcome.repaired.collect()} == {1: "a", 3: "c"}
+    assert outcome.repaired.columns == ["id", "yr", "mon", "wk", "val"]
+
+
+@pytest.mark.parametrize("narrow", [{}, {"limit": 2}, {"record": "1"}])
+def test_repair_job_covers_the_whole_destination(spark, tmp_path, narrow):
+    """Rows out of scope, limit or record and unmapped columns stay; a dry run writes nothing."""
+    columns = "ident long, yr int, mon int, note string, val string"
+    rows = [(1, 2024, 5, "n1", "z"), (2, 2024, 5, "n2", "b"), (3, 2023, 12, "n3", "c"), (None, 2024, 5, "n4", "d")]
+    spark.createDataFrame(rows, columns).write.parquet(str(tmp_path / "d"))
+    right = [(1, 2024, 5, "", "a"), (2, 2024, 5, "", "b"), (3, 2023, 12, "", "x")]
+    spark.createDataFrame(right, columns).write.parquet(str(tmp_path / "s"))
+    mapping = {"id": "ident", "year": "yr", "month": "mon", "val": "val"}
+    raw = {
+        "source": {"type": "parquet", "table": str(tmp_path / "s"), "columns": mapping},
+        "destination": {"type": "parquet", "table": str(tmp_path / "d"), "columns": mapping},
+        "primary_key": "id",
+        "partitioning": {"scope": [{"year": 2024, "month": 5}]},
+        "output": {"path": str(tmp_path / "out")},
+        "updates": {"auto_repair": True, "target": str(tmp_path / "fixed")},
+    }
+    dry = run(spark, job_from(raw, **narrow))
+    assert dry.repaired is None and sinks.read_latest(spark, str(tmp_path / "fixed")) is None
+    # From the stored report, as a job of its own.
+    outcome = repair_destination(spark, job_from(raw, apply=True, **narrow))
+    apply_to(outcome, str(tmp_path / "fixed"))
+    fixed = sinks.read_latest(spark, str(tmp_path / "fixed"))
+    assert fixed.columns == columns.replace(",", "").split()[::2]
+    expected = [(1, 2024, 5, "n1", "a"), *rows[1:]]
+    assert sorted(map(tuple, fixed.collect()), key=str) == sorted(expected, key=str)
+    assert sinks.read_latest(spark, str(tmp_path / "out")).where("type = 'mismatch'").count() == 0
+    totals = [r["rows_updated"] for r in outcome.summary.where("partition IS NULL").collect()]
+    assert totals == [1]
+
+
+def test_unknown_settings_are_refused():
+    raw = {**SETTINGS, "comparison": {"tolerence": 0.1}}
+    with pytest.raises(KeyError, match="tolerence"):
+        job_from(raw, resolve_env=False)
+    job = job_from({**SETTINGS, "comparison": {"tolerance": 0.5, "hot_rows": 7}}, resolve_env=False)
+    assert (job.compare.tolerance, job.compare.hot_rows) == (0.5, 7)
 
 
 def test_records_without_a_key_are_appended(spark, tmp_path):
@@ -245,9 +288,11 @@ def test_table_is_created_once(spark):
 
 
 def test_jdbc_column_types():
-    types = sinks.jdbc_column_types(["primary_key", "source_value"])
-    assert types == "`primary_key` VARCHAR(500)"
-    assert T.StructType.fromDDL(types).names == ["primary_key"]
+    names = ["primary_key", "source_value"]
+    assert sinks.jdbc_column_types(names) == "`primary_key` VARCHAR(500)"
+    oracle = sinks.jdbc_column_types(names, sinks.dialect_of({"url": "jdbc:oracle:thin:@//h:1/s"}))
+    assert oracle == "`primary_key` VARCHAR(500), `source_value` VARCHAR(4000)"
+    assert T.StructType.fromDDL(oracle).names == names
 
 
 def test_merge_statement():

@@ -482,6 +482,15 @@ def discrepancy_report_hash_first(spark, sf_dir):
     return _comparable(found, "week", "source_hash", "dest_hash")
 
 
+@query
+def discrepancy_report_fine_tolerance(spark, sf_dir):
+    """Below the digest's five decimals no row may be dropped early."""
+    found = _order_report(
+        spark, sf_dir, use_row_hash=True, discard_equal_first=True, tolerance=1e-7
+    )
+    return _comparable(found, "week")
+
+
 @query
 def discrepancy_report_unique_key(spark, sf_dir):
     found = _order_report(spark, sf_dir, use_row_hash=True, unique_key=True)
@@ -596,7 +605,8 @@ def repair_columns(spark, sf_dir):
 
 @query
 def repair_plan(spark, sf_dir):
-    return rp.plan_repairs(_order_report(spark, sf_dir), _dest(spark, sf_dir))
+    plan = rp.plan_repairs(_order_report(spark, sf_dir), _dest(spark, sf_dir))
+    return plan.drop("occurrence", "dest_raw")
 
 
 @query
@@ -610,14 +620,15 @@ def repair_apply(spark, sf_dir):
 def purge_repaired(spark, sf_dir):
     found, dest = _stored_report(spark, sf_dir), _dest(spark, sf_dir)
     plan = rp.plan_repairs(found, dest)
-    return _comparable(rp.purge_repaired(found, plan, dest, "id"), "week")
+    left = rp.purge_repaired(found, plan, dest, "id", pairs.ORDER_VALUES)
+    return _comparable(left, "week")
 
 
 @query
 def repair_summary(spark, sf_dir):
     dest = _dest(spark, sf_dir)
     plan = rp.plan_repairs(_order_report(spark, sf_dir), dest)
-    return rp.repair_summary(plan, dest, "id")
+    return rp.repair_summary(plan, dest, "id", pairs.ORDER_VALUES)
 
 
 @query
@@ -630,3 +641,13 @@ def reconcile_then_repair(spark, sf_dir):
         source, repaired, "id", pairs.ORDER_VALUES, Compare(include_nulls=True)
     )
     return again.select("primary_key", "type", "column", "year", "month", "week")
+
+
+@query
+def reconcile_then_repair_lines(spark, sf_dir):
+    """Repeated keys are repaired row by row: only unpaired rows are left."""
+    source, dest = pairs.tagged_lines(spark, sf_dir)
+    found = durable(_line_report(spark, sf_dir))
+    repaired = rp.apply_repairs(dest, rp.plan_repairs(found, dest), "id", pairs.LINE_VALUES)
+    again = reconcile_tables(source, repaired, "id", pairs.LINE_VALUES, Compare(include_nulls=True))
+    return again.select("primary_key", "type", "column", "year", "month")

@@ -431,4 +431,12 @@ def oracle_sql() -> dict[str, str]:
         REPORT,
         "SELECT primary_key, type, \"column\", year, month, week FROM report WHERE type <> 'mismatch'",
     )
+    lines = _lines_report()
+    sql["reconcile_then_repair_lines"] = (
+        f'SELECT primary_key, type, "column", year, month FROM ({lines}) WHERE type <> \'mismatch\''
+    )
+    # A finer tolerance than the digest: also the amounts that differ by a millionth.
+    sql["discrepancy_report_fine_tolerance"] = _end(
+        REPORT.replace("0.00001", "0.0000001"), f"SELECT {_REPORT_COLUMNS} FROM report"
+    )
     return sql

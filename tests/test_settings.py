@@ -287,7 +287,7 @@ def test_table_is_created_once(spark):
     assert spark.table("found_records").columns == ["primary_key", "column"]
 
 
-def test_jdbc_column_types():
+def test_jdbc_column_types(spark):
     names = ["primary_key", "source_value"]
     assert sinks.jdbc_column_types(names) == "`primary_key` VARCHAR(500)"
     oracle = sinks.jdbc_column_types(names, sinks.dialect_of({"url": "jdbc:oracle:thin:@//h:1/s"}))

@@ -140,9 +140,12 @@ def nearest(query_id, ids, scores, n: int) -> tuple[np.ndarray, np.ndarray, np.n
     """The ``n`` best rows of each query, ties to the smaller id; an id counts once per query."""
     order = np.lexsort((ids, scores, query_id))
     q, i, s = query_id[order], ids[order], scores[order]
-    again = np.r_[False, (q[1:] == q[:-1]) & (i[1:] == i[:-1])]
-    q, i, s = q[~again], i[~again], s[~again]
-    start = np.flatnonzero(np.r_[True, q[1:] != q[:-1]]) if len(q) else np.empty(0, "i8")
+    first = np.ones(len(q), bool)
+    first[1:] = (q[1:] != q[:-1]) | (i[1:] != i[:-1])
+    q, i, s = q[first], i[first], s[first]
+    first = np.ones(len(q), bool)
+    first[1:] = q[1:] != q[:-1]
+    start = np.flatnonzero(first)
     rank = np.arange(len(q)) - np.repeat(start, np.diff(np.r_[start, len(q)]))
     return q[rank < n], i[rank < n], s[rank < n]
 

@@ -13,8 +13,8 @@ report pairs of tiles, never pairs of vectors. A bucket of a table that is too
 large for a task is compared in blocks. A task multiplies two tiles and gives
 numbers of links and a forest of them.
 
-Cases: a null label, or a vector that is null, zero or holds null or non-finite
-components, links with nothing; vectors of unlike length are not compared;
+Cases: a null label or key, or a vector that is null, zero or holds null or
+non-finite components, links with nothing; vectors of unlike length are not compared;
 repeated rows and equal vectors are linked; extra columns are not read; an
 empty table gives an empty result.
 """
@@ -88,9 +88,11 @@ def _packed_rows(rows: DataFrame, key: str, vector: str, label: str) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            labels = batch.column("label").to_pylist()
-            found = packed(batch.column("vector"))
-            found = [v if name is not None else None for v, name in zip(found, labels, strict=True)]
+            keys, labels = batch.column("key").to_pylist(), batch.column("label").to_pylist()
+            found = [
+                None if name is None or key is None else v
+                for v, name, key in zip(packed(batch.column("vector")), labels, keys, strict=True)
+            ]
             classes = [
                 None if v is None else xxhash.xxh3_128_digest(f"{len(v)}:{name}:".encode() + v)
                 for v, name in zip(found, labels, strict=True)

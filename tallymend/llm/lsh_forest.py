@@ -14,8 +14,8 @@ tiles of bounded size, and a task verifies two tiles at a time, giving numbers
 of links and a forest of them.
 
 Cases: a null or empty text, or one of blanks, has no shingle and links with
-nothing, not even its like; a text of fewer than five words is one shingle;
-repeated rows and equal texts link at similarity 1; extra columns are not read;
+nothing, not even its like, and so does a row without key; a text of fewer than
+five words is one shingle; repeated rows and equal texts link at similarity 1; extra columns are not read;
 an empty table gives an empty result.
 """
 
@@ -111,8 +111,9 @@ def signatures(docs: DataFrame, forest: Forest, key: str, text: str) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = {"class": [], "n": [], "prefixes": []}
-            for body in batch.column("text").to_pylist():
-                found = shingles(body, forest.words)
+            keys, texts = batch.column("key").to_pylist(), batch.column("text").to_pylist()
+            for name, body in zip(keys, texts, strict=True):
+                found = shingles(None if name is None else body, forest.words)
                 rows["n"].append(len(found))
                 rows["class"].append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
                 rows["prefixes"].append(

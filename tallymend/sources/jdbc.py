@@ -94,6 +94,11 @@ def _split_term(side: Side, key: str, part: int) -> str:
     return f"({share} OR {key} IS NULL)" if part == 0 else f"({share} AND {key} IS NOT NULL)"
 
 
+def split_predicates(side: Side, key: str) -> list[str]:
+    """One WHERE text per share of the whole table."""
+    return [_split_term(side, key, part) for part in range(side.splits)]
+
+
 def scan_predicates(
     side: Side,
     schema: T.StructType,

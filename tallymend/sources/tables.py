@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallymend.config import Job, Side
 from tallymend.functions.cells import orderable
+from tallymend.plans.durable import durable
 from tallymend.plans.scope import PARTITION, Scope, tag_partition, typed
-from tallymend.sources.jdbc import jdbc_options, scan_predicates
+from tallymend.sources.jdbc import jdbc_options, scan_predicates, split_predicates
 
 DATABASES = ("oracle", "sqlserver", "jdbc")
 FILES = ("parquet", "orc", "csv", "json")
 # A limit is taken per share of a partition first, then over the shares.
 LIMIT_SHARES = 1024
+# Up to here Spark keeps only the first rows of a share before the shuffle.
+SMALL_LIMIT = 1000
 
 
 def project_mapped(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
@@ -31,13 +36,19 @@ def only_record(df: DataFrame, key: str, value: str) -> DataFrame:
 def limit_per_partition(df: DataFrame, key: str, n: int) -> DataFrame:
     """The first ``n`` rows by key of every partition.
 
-    A partition may be most of the table, so it is first cut to ``n`` rows per
-    share; only the survivors are ranked together. Rows of equal key are taken
-    in the order of their remaining columns.
+    A small limit cuts each share of a partition before its rows are shuffled;
+    a large one would not, so there the rows are range-partitioned in order,
+    and a row's rank is its rank in its slice plus the rows of earlier slices.
+    Both give the same rows: those of equal key are taken in the order of
+    their remaining columns.
     """
     ties = [f.name for f in df.schema if f.name not in (*PARTITION, key) and orderable(f.dataType)]
-    share = F.pmod(F.xxhash64(F.col(key), F.spark_partition_id()), F.lit(LIMIT_SHARES))
     order = [F.col(key), *(F.col(c) for c in ties)]
+    return _first_by_share(df, order, n) if n <= SMALL_LIMIT else _first_by_slice(df, order, n)
+
+
+def _first_by_share(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
+    share = F.pmod(F.xxhash64(order[0], F.spark_partition_id()), F.lit(LIMIT_SHARES))
     in_share = F.row_number().over(Window.partitionBy(*PARTITION, "limit_share").orderBy(*order))
     in_partition = F.row_number().over(Window.partitionBy(*PARTITION).orderBy(*order))
     return (
@@ -50,6 +61,40 @@ def limit_per_partition(df: DataFrame, key: str, n: int) -> DataFrame:
     )
 
 
+def _first_by_slice(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
+    """No task gets more than a slice; slices behind the limit are not ranked at all.
+
+    The slices are written out, so that a lost executor cannot cut them anew.
+    """
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sliced = durable(
+        df.repartitionByRange(slices, *PARTITION, *order).withColumn(
+            "limit_slice", F.spark_partition_id()
+        )
+    )
+    before = Window.partitionBy(*PARTITION).orderBy("limit_slice").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    # At most one row per partition and slice.
+    begins = (
+        sliced.groupBy(*PARTITION, "limit_slice")
+        .agg(F.count("*").alias("limit_rows"))
+        .withColumn("limit_begin", F.coalesce(F.sum("limit_rows").over(before), F.lit(0)))
+        .where(F.col("limit_begin") < n)
+        .withColumnsRenamed({c: f"at_{c}" for c in (*PARTITION, "limit_slice")})
+    )
+    same = reduce(
+        and_, (F.col(c).eqNullSafe(F.col(f"at_{c}")) for c in (*PARTITION, "limit_slice"))
+    )
+    rank = F.row_number().over(Window.partitionBy(*PARTITION, "limit_slice").orderBy(*order))
+    return (
+        sliced.join(begins, same)
+        .withColumn("limit_rank", rank + F.col("limit_begin"))
+        .where(F.col("limit_rank") <= n)
+        .select(*df.columns)
+    )
+
+
 def load(
     spark: SparkSession,
     side: Side,
@@ -62,11 +107,15 @@ def load(
         options = jdbc_options(side)
         plain = spark.read.format("jdbc").options(**options, dbtable=side.qualified).load()
         if scope is None or not scope.entries:
-            return plain
+            if side.splits <= 1:
+                return plain
+            predicates = split_predicates(side, key)
+        else:
+            predicates = scan_predicates(side, plain.schema, scope, key, *partition)
         return spark.read.jdbc(
             options["url"],
             side.qualified,
-            predicates=scan_predicates(side, plain.schema, scope, key, *partition),
+            predicates=predicates,
             properties={k: v for k, v in options.items() if k != "url"},
         )
     if side.type == "table":

@@ -149,6 +149,14 @@ def scan_limit(spark, sf_dir):
     return _scan(spark, sf_dir, limit=5).drop(*PARTITION)
 
 
+@query
+def scan_limit_large(spark, sf_dir):
+    """More rows a year than are kept before a shuffle: the rank is made slice by slice."""
+    lines = pairs.lines_source(spark, sf_dir).withColumn("month", F.lit("01"))
+    lines = tag_partition(lines, "year", "month")
+    return tb.limit_per_partition(lines, "id", 2000).drop(*PARTITION)
+
+
 @query
 def expand_partitions(spark, sf_dir):
     """A scope taken from the orders: even months by week, odd months whole."""

@@ -237,6 +237,11 @@ def oracle_sql() -> dict[str, str]:
         " (PARTITION BY year, month ORDER BY id) AS rn FROM src)"
         f" SELECT {orders_columns} FROM ranked WHERE rn <= 5"
     )
+    sql["scan_limit_large"] = (
+        f"WITH src AS ({LINES_SOURCE}), ranked AS (SELECT *, row_number() OVER"
+        " (PARTITION BY year ORDER BY id, line, quantity, price, flag) AS rn FROM src)"
+        " SELECT id, year, '01' AS month, line, quantity, price, flag FROM ranked WHERE rn <= 2000"
+    )
     sql["expand_partitions"] = (
         "SELECT DISTINCT cast(year(o_orderdate) AS varchar) AS year,"
         " lpad(cast(month(o_orderdate) AS varchar), 2, '0') AS month,"

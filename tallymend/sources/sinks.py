@@ -69,35 +69,44 @@ def append(records: DataFrame, path: str) -> None:
     records.write.mode("append").parquet(path)
 
 
-LOG_SCHEMA = T.StructType([T.StructField("version", T.LongType())])
+LOG_SCHEMA = T.StructType(
+    [T.StructField("version", T.LongType()), T.StructField("folder", T.StringType())]
+)
 
 
-def latest_version(spark: SparkSession, path: str) -> int:
-    """Number of the newest complete version under ``path``; 0 for none."""
+def _latest(spark: SparkSession, path: str) -> tuple[int, str]:
+    """Number and folder of the newest complete version; (0, "") for none."""
     try:
         log = spark.read.schema(LOG_SCHEMA).parquet(f"{path}/versions")
-        return log.agg(F.max("version")).first()[0] or 0
+        newest = log.agg(F.max(F.struct("version", "folder"))).first()[0]
     except AnalysisException as exc:
         if exc.getCondition() == "PATH_NOT_FOUND":
-            return 0
+            return 0, ""
         raise
+    return (newest["version"], newest["folder"]) if newest else (0, "")
+
+
+def latest_version(spark: SparkSession, path: str) -> int:
+    """Number of the newest complete version under ``path``; 0 for none."""
+    return _latest(spark, path)[0]
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame | None:
-    version = latest_version(spark, path)
-    return spark.read.parquet(f"{path}/data-{version}") if version else None
+    version, folder = _latest(spark, path)
+    return spark.read.parquet(f"{path}/{folder}") if version else None
 
 
 def write_version(df: DataFrame, path: str) -> int:
     """Write a new version and then name it in the version log.
 
-    The version being read is never overwritten, and one that failed half way
-    is never named.
+    The version being read is never overwritten, one that failed half way is
+    never named, and two writers at a time use folders of their own.
     """
     spark = df.sparkSession
     version = latest_version(spark, path) + 1
-    df.write.mode("overwrite").parquet(f"{path}/data-{version}")
-    named = spark.range(version, version + 1).withColumnRenamed("id", "version")
+    folder = f"data-{version}-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{folder}")
+    named = spark.createDataFrame([(version, folder)], LOG_SCHEMA)
     named.coalesce(1).write.mode("append").parquet(f"{path}/versions")
     return version
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from tallymend.operators import align as al
 from tallymend.operators import diff as df
 from tallymend.operators import repair as rp
 from tallymend.operators import report as rep
-from tallymend.plans.durable import durable
+from tallymend.plans.durable import checkpoint_folder, durable
 from tallymend.plans.job import reconcile, reconcile_tables
 from tallymend.plans.scope import PARTITION, Scope, expand_scope, tag_partition
 from tallymend.sources import sinks
@@ -562,6 +563,12 @@ def reconcile_scope(spark, sf_dir):
 RECORD = ["primary_key", "column", "source_value", "dest_value", "year", "month", "week"]
 
 
+def _new_folder(spark) -> str:
+    """A folder of its own below the shared checkpoint folder."""
+    checkpoint_folder(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/records-{uuid.uuid4().hex}"
+
+
 def _two_runs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """The mismatches of one run, and of a later run that sees other amounts."""
     first = _order_report(spark, sf_dir).where("type = 'mismatch'").select(*RECORD)
@@ -574,14 +581,18 @@ def _two_runs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 
 @query
 def upsert_discrepancies(spark, sf_dir):
-    first, later = _two_runs(spark, sf_dir)
-    return sinks.upsert(first, later, ("primary_key", "column", "year", "month", "week"))
+    folder = _new_folder(spark)
+    for records in _two_runs(spark, sf_dir):
+        sinks.write_records(records, folder, ("primary_key", "column", "year", "month", "week"))
+    return sinks.read_latest(spark, folder)
 
 
 @query
 def append_records(spark, sf_dir):
-    first, later = _two_runs(spark, sf_dir)
-    return first.unionByName(later)
+    folder = _new_folder(spark)
+    for records in _two_runs(spark, sf_dir):
+        sinks.append(records, folder)
+    return spark.read.parquet(folder)
 
 
 # --- repair
@@ -606,6 +617,14 @@ def repair_skip_nulls(spark, sf_dir):
     return rp.skip_null_sources(rp.candidates(_order_report(spark, sf_dir))).select(*RECORD)
 
 
+@query
+def repair_skip_nulls_swapped(spark, sf_dir):
+    """The destination as source: some of its cells are NULL and must not be written."""
+    source, dest = pairs.tagged_orders(spark, sf_dir)
+    found = reconcile_tables(dest, source, "id", pairs.ORDER_VALUES, Compare(include_nulls=True))
+    return rp.skip_null_sources(rp.candidates(found)).select(*RECORD)
+
+
 @query
 def repair_columns(spark, sf_dir):
     return rp.columns_to_repair(rp.candidates(_order_report(spark, sf_dir)))

@@ -417,6 +417,11 @@ def oracle_sql() -> dict[str, str]:
         'SELECT primary_key, "column", source_value, dest_value, year, month, week FROM report'
         " WHERE type = 'mismatch' AND source_value IS NOT NULL AND source_value <> ''",
     )
+    sql["repair_skip_nulls_swapped"] = _end(
+        REPORT,
+        'SELECT primary_key, "column", dest_value AS source_value, source_value AS dest_value, year,'
+        " month, week FROM report WHERE type = 'mismatch' AND dest_value IS NOT NULL AND dest_value <> ''",
+    )
     sql["repair_columns"] = _end(
         REPORT, "SELECT DISTINCT year, month, week, \"column\" FROM report WHERE type = 'mismatch'"
     )

@@ -68,14 +68,17 @@ def byte_letters() -> dict[int, str]:
 
 
 class WordEncoder:
-    """Ids of a text, word by word: a token never crosses a blank or a line end.
+    """Ids of a text, piece by piece: a token never crosses a piece.
 
-    Most words are letters with perhaps a full stop or comma. Their letters in
-    lower case are looked up by themselves, so case and marks do not multiply
-    what is encoded. Any other word goes through the library whole.
+    In Latin text the tokenizer's pieces are runs of letters, single digits and
+    runs of marks, after lower-casing; equal pieces have equal ids, so the
+    library's model spells each of them once. A text with other characters,
+    contractions or special tokens goes through the library word by word: its
+    pieces never cross a blank or a line end.
     """
 
-    SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)").fullmatch
+    LATIN = re.compile("[\n\t\x20-&(-\x7eÀ-ÿ]*").fullmatch
+    PIECES = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^\\sa-zß-öø-ÿ0-9]+").findall
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -84,25 +87,23 @@ class WordEncoder:
         self.library = Tokenizer.from_file(path)
         self._model = self.library.model
         self._letters = [letter for _, letter in sorted(byte_letters().items())]
-        self._plain = Memory(self._encode_letters)
+        self._pieces = Memory(self._encode_piece)
         self._words = Memory(self._encode_word)
-        self._marks = {mark: self._whole(mark) for mark in (".", ",")} | {"": b""}
 
-    def _whole(self, word: str) -> bytes:
-        return np.array(self.library.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _encode_letters(self, word: str) -> bytes:
-        spelled = "".join(map(self._letters.__getitem__, word.encode()))
+    def _encode_piece(self, piece: str) -> bytes:
+        spelled = "".join(map(self._letters.__getitem__, piece.encode()))
         return np.array([t.id for t in self._model.tokenize(spelled)], "<u4").tobytes()
 
     def _encode_word(self, word: str) -> bytes:
-        if simple := self.SIMPLE(word):
-            return self._plain[simple[1].lower()] + self._marks[simple[2]]
-        return self._whole(word) if word else b""
+        ids = self.library.encode(word, add_special_tokens=False).ids if word else []
+        return np.array(ids, "<u4").tobytes()
 
     def encode(self, text: str | None) -> bytes:
-        words = (text or "").replace("\n", " ").split(" ")
-        return b"".join(map(self._words.__getitem__, words))
+        text = text or ""
+        # Special tokens are the only ones that are matched before the pieces.
+        if self.LATIN(text) and "<|" not in text:
+            return b"".join(map(self._pieces.__getitem__, self.PIECES(text.lower())))
+        return b"".join(map(self._words.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 @lru_cache(maxsize=2)
@@ -270,12 +271,12 @@ def read_tokens(spark: SparkSession, folder: str, keys: Iterable | None = None)
                 yield _rows(file.number, rows)
 
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per file.
+    # One row of two numbers per file, and the number of files is a parameter.
     begins = stored.mapInArrow(sizes, "file long, n long").select(
         "file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin")
     )
     found = stored.mapInArrow(documents, "file long, key long, first long, ids binary")
-    return found.join(begins, "file").select(
+    return found.join(F.broadcast(begins), "file").select(
         "key", (F.col("begin") + F.col("first")).alias("start"), "ids"
     )
 

@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallymend.llm.byte_bpe import Memory
+from tallymend.llm.byte_bpe import Memory, sliced
 from tallymend.llm.common import shuffle_partitions
 from tallymend.plans.durable import checkpoint_folder
 
@@ -47,6 +47,9 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 # Bytes of ids in a frame; a longer document takes several.
 FRAME = 1 << 18
+# Rows that a worker holds as texts, and pieces that it remembers.
+ROWS = 256
+REMEMBERED = 300_000
 
 # Fixed values of the format.
 LINE_END = b"\n"
@@ -87,8 +90,8 @@ class WordEncoder:
         self.library = Tokenizer.from_file(path)
         self._model = self.library.model
         self._letters = [letter for _, letter in sorted(byte_letters().items())]
-        self._pieces = Memory(self._encode_piece)
-        self._words = Memory(self._encode_word)
+        self._pieces = Memory(self._encode_piece, REMEMBERED)
+        self._words = Memory(self._encode_word, REMEMBERED)
 
     def _encode_piece(self, piece: str) -> bytes:
         spelled = "".join(map(self._letters.__getitem__, piece.encode()))
@@ -228,7 +231,7 @@ def write_tokens(
         encoder = word_encoder(vocabulary)
 
         def documents():
-            for batch in batches:
+            for batch in sliced(batches, ROWS):
                 keys, texts = batch.column("key").to_pylist(), batch.column("text").to_pylist()
                 for name, body in zip(keys, texts, strict=True):
                     yield name, encoder.encode(body) + end

@@ -337,7 +337,8 @@ def remove_repeats(
         .where("p <> q")
         .select("core")
     )
-    met = durable(parsed.join(twice, "core"))
+    # Read from storage, so that Spark can split the phrases of a frequent core in the join.
+    met = durable(parsed.join(durable(twice), "core"))
 
     # 2. Phrases that stand twice with all their strings.
     wholes = met.groupBy("core", "whole").agg(

@@ -23,16 +23,18 @@ from pyspark.sql import functions as F
 
 from tallymend.llm.common import text_or_empty
 
-ENDS = r"[.!?;:]+[ \t\r\n]+|\n[ \t\r]*\n"
+# The name MIT after an SPDX tag is part of the cut: on its own it would be the German word "mit".
+ENDS = r"Identifier:[ \t]+MIT(?:[ \t\r]*\n|[ \t\r]+|[*\"'),]|$)|[.!?;:]+[ \t\r\n]+|\n[ \t\r]*\n"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 OTHER = "[^a-z0-9.+/-]+"
 EDGE = r"^[ .+/-]+|[ .+/-]+$"
 # Every known sentence holds one of these; a text without any is done at once.
-HINT = "(?i)licen|copyright|permi|redistribut|warrant|public domain|spdx|provided|liab|notice"
+HINT = "(?i)licen|copyright|permi|redistribut|warrant|public domain|spdx|provided|liab|notice|reserved|apache|gpl|bsd"
 
 # Known sentences in normal form, and their identifiers.
 SENTENCES = (
     ("ApacheRef", "licensed under the apache license version 2.0"),
+    ("ApacheRef", "licensed under the apache license version 2.0 the license"),
     ("ApacheMayNot", "you may not use this file except in compliance with the license"),
     ("ApacheObtain", "you may obtain a copy of the license at"),
     (
@@ -76,6 +78,20 @@ SENTENCES = (
         " the gnu general public license as published by the free software foundation either version"
         " 3 of the license or at your option any later version",
     ),
+    # The usual notices, as ENDS cuts them: "free software: you can ...", "Foundation; either ...".
+    (
+        "GplFree",
+        "you can redistribute it and/or modify it under the terms of the gnu general public license"
+        " as published by the free software foundation either version 3 of the license or at your"
+        " option any later version",
+    ),
+    (
+        "GplTerms",
+        "you can redistribute it and/or modify it under the terms of the gnu general public license"
+        " as published by the free software foundation",
+    ),
+    ("GplLater2", "either version 2 of the license or at your option any later version"),
+    ("GplLater3", "either version 3 of the license or at your option any later version"),
     ("LgplRef3", "licensed under the gnu lesser general public license version 3"),
     ("AgplRef3", "licensed under the gnu affero general public license version 3"),
     ("Mpl2Ref", "licensed under the mozilla public license version 2.0"),
@@ -117,22 +133,35 @@ SENTENCES = (
     ),
     ("Unlicense", "this is free and unencumbered software released into the public domain"),
     ("AllRights", "copyright all rights reserved"),
+    ("AllRights", "all rights reserved"),
     ("SpdxMit", "spdx-license-identifier mit"),
     ("SpdxApache", "spdx-license-identifier apache-2.0"),
     ("SpdxGpl3", "spdx-license-identifier gpl-3.0-only"),
     ("SpdxBsd3", "spdx-license-identifier bsd-3-clause"),
+    # What ENDS leaves of "SPDX-License-Identifier: MIT"; other names follow the tag as pieces.
+    ("SpdxMit", "spdx-license"),
+    ("SpdxTag", "spdx-license-identifier"),
+    ("NameApache", "apache-2.0"),
+    ("NameGpl2", "gpl-2.0-only"),
+    ("NameGpl2Later", "gpl-2.0-or-later"),
+    ("NameGpl3", "gpl-3.0-only"),
+    ("NameGpl3Later", "gpl-3.0-or-later"),
+    ("NameBsd2", "bsd-2-clause"),
+    ("NameBsd3", "bsd-3-clause"),
 )
 
+# A rights-reserved notice on top of a full licence text is part of it.
 # Ordered: an earlier rule takes its identifiers before a later one sees them.
 # ``A B? | C`` reads: A, then perhaps B; or C.
 RULES = (
-    ("MIT", "MitTitle? MitGrant MitNotice MitAsIs?"),
-    ("Apache-2.0", "ApacheTitle? ApacheRef ApacheMayNot? ApacheObtain? ApacheAsIs?"),
-    ("BSD-3-Clause", "BsdGrant BsdSource BsdBinary"),
-    ("BSD-2-Clause", "BsdGrant BsdSource"),
-    ("GPL-3.0-or-later", "GplFree"),
-    ("GPL-3.0", "GplRef3 | SpdxGpl3"),
-    ("GPL-2.0", "GplRef2"),
+    ("MIT", "MitTitle? AllRights? MitGrant MitNotice MitAsIs?"),
+    ("Apache-2.0", "ApacheTitle? AllRights? ApacheRef ApacheMayNot? ApacheObtain? ApacheAsIs?"),
+    ("BSD-3-Clause", "AllRights? BsdGrant BsdSource BsdBinary"),
+    ("BSD-2-Clause", "AllRights? BsdGrant BsdSource"),
+    ("GPL-3.0-or-later", "GplFree | GplTerms GplLater3 | SpdxTag NameGpl3Later"),
+    ("GPL-2.0-or-later", "GplTerms GplLater2 | SpdxTag NameGpl2Later"),
+    ("GPL-3.0", "GplRef3 | SpdxGpl3 | SpdxTag NameGpl3"),
+    ("GPL-2.0", "GplRef2 | SpdxTag NameGpl2"),
     ("LGPL-3.0", "LgplRef3"),
     ("AGPL-3.0", "AgplRef3"),
     ("MPL-2.0", "Mpl2Ref | Mpl2Terms"),
@@ -141,10 +170,11 @@ RULES = (
     ("CC-BY-ND-4.0", "CcByNd4"),
     ("CC-BY-4.0", "CcBy4"),
     ("CC0-1.0", "Cc0"),
-    ("ISC", "IscGrant MitAsIs?"),
+    ("ISC", "AllRights? IscGrant MitAsIs?"),
     ("Unlicense", "Unlicense"),
-    ("Apache-2.0", "SpdxApache | ApacheTitle ApacheAsIs?"),
-    ("BSD-3-Clause", "SpdxBsd3"),
+    ("Apache-2.0", "SpdxApache | SpdxTag NameApache | ApacheTitle ApacheAsIs?"),
+    ("BSD-3-Clause", "SpdxBsd3 | SpdxTag NameBsd3"),
+    ("BSD-2-Clause", "SpdxTag NameBsd2"),
     ("BSD", "BsdRef | BsdGrant"),
     ("MIT", "MitRef | MitTitle | SpdxMit | MitGrant"),
     ("Proprietary", "AllRights"),

@@ -110,6 +110,51 @@ def test_every_known_sentence_is_in_normal_form(spark):
     assert table.where(~F.col("s").rlike(known.hint)).count() == 0
 
 
+GPL = (
+    "    This program is free software{} you can redistribute it and/or modify\n"
+    "    it under the terms of the GNU General Public License as published by\n"
+    "    the Free Software Foundation{} either version {} of the License, or\n"
+    "    (at your option) any later version.\n\n"
+    "    This program is distributed in the hope that it will be useful,\n"
+)
+APACHE = (
+    "Copyright 2020 Foo Inc. All Rights Reserved.\n\n"
+    'Licensed under the Apache License, Version 2.0 (the "License");\n'
+    "you may not use this file except in compliance with the License.\n"
+    "You may obtain a copy of the License at\n\n"
+    "    http://www.apache.org/licenses/LICENSE-2.0\n\n"
+    "Unless required by applicable law or agreed to in writing, software\n"
+    'distributed under the License is distributed on an "AS IS" BASIS,\n'
+    "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.\n"
+    "See the License for the specific language governing permissions and\nlimitations under the License.\n"
+)
+
+
+@pytest.mark.parametrize(
+    "text, licence",
+    [
+        ("All rights reserved.", "Proprietary"),
+        ("some prose\nAll rights reserved.\nmore prose", "Proprietary"),
+        ("Copyright (c) 2020 Foo. All rights reserved.", "Proprietary"),
+        ("# SPDX-License-Identifier: MIT\nimport os\n", "MIT"),
+        ("// SPDX-License-Identifier: Apache-2.0", "Apache-2.0"),
+        ("/* SPDX-License-Identifier: GPL-3.0-only */\nint x;", "GPL-3.0"),
+        ("<!-- SPDX-License-Identifier: BSD-3-Clause -->", "BSD-3-Clause"),
+        (GPL.format(":", ",", 3), "GPL-3.0-or-later"),
+        (GPL.format(";", ";", 3), "GPL-3.0-or-later"),
+        (GPL.format(";", ";", 2), "GPL-2.0-or-later"),
+        (APACHE, "Apache-2.0"),
+        ("SPDX-License-Identifier: MIT", "MIT"),
+        ("/* SPDX-License-Identifier: MIT */", "MIT"),
+        ("SPDX-License-Identifier: MIT-0", ""),
+        ("eine Lizenz\nmit\nMIT", ""),
+    ],
+)
+def test_usual_notices_are_recognised(spark, text, licence):
+    table = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert licenses.digest(licenses.recognise(table)).first()["licenses"] == licence
+
+
 @pytest.mark.parametrize("together", [0, repeats.TOGETHER])
 def test_repeats(docs, rows, texts, together):
     how = repeats.Repeat(length=60, reach=40)

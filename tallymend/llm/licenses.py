@@ -27,7 +27,9 @@ from tallymend.llm.common import text_or_empty
 ENDS = r"Identifier:[ \t]+MIT(?:[ \t\r]*\n|[ \t\r]+|[*\"'),]|$)|[.!?;:]+[ \t\r\n]+|\n[ \t\r]*\n"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 OTHER = "[^a-z0-9.+/-]+"
-EDGE = r"^[ .+/-]+|[ .+/-]+$"
+# The name in "Neither the name of X nor the names of ..." varies and goes too, also one that ends
+# in a stop, such as "Foo Inc.", where ENDS has cut.
+EDGE = r"^[ .+/-]*(?:neither the name of .+ )?nor the names of |^[ .+/-]+|[ .+/-]+$"
 # Every known sentence holds one of these; a text without any is done at once.
 HINT = "(?i)licen|copyright|permi|redistribut|warrant|public domain|spdx|provided|liab|notice|reserved|apache|gpl|bsd"
 
@@ -124,6 +126,16 @@ SENTENCES = (
         " conditions and the following disclaimer in the documentation and/or other materials"
         " provided with the distribution",
     ),
+    (
+        "BsdName",
+        "its contributors may be used to endorse or promote products derived from this software"
+        " without specific prior written permission",
+    ),
+    (
+        "BsdName",
+        "the name of the author may not be used to endorse or promote products derived from this"
+        " software without specific prior written permission",
+    ),
     ("BsdRef", "licensed under the bsd license"),
     (
         "IscGrant",
@@ -156,8 +168,8 @@ SENTENCES = (
 RULES = (
     ("MIT", "MitTitle? AllRights? MitGrant MitNotice MitAsIs?"),
     ("Apache-2.0", "ApacheTitle? AllRights? ApacheRef ApacheMayNot? ApacheObtain? ApacheAsIs?"),
-    ("BSD-3-Clause", "AllRights? BsdGrant BsdSource BsdBinary"),
-    ("BSD-2-Clause", "AllRights? BsdGrant BsdSource"),
+    ("BSD-3-Clause", "AllRights? BsdGrant BsdSource BsdBinary BsdName"),
+    ("BSD-2-Clause", "AllRights? BsdGrant BsdSource BsdBinary"),
     ("GPL-3.0-or-later", "GplFree | GplTerms GplLater3 | SpdxTag NameGpl3Later"),
     ("GPL-2.0-or-later", "GplTerms GplLater2 | SpdxTag NameGpl2Later"),
     ("GPL-3.0", "GplRef3 | SpdxGpl3 | SpdxTag NameGpl3"),
@@ -175,7 +187,7 @@ RULES = (
     ("Apache-2.0", "SpdxApache | SpdxTag NameApache | ApacheTitle ApacheAsIs?"),
     ("BSD-3-Clause", "SpdxBsd3 | SpdxTag NameBsd3"),
     ("BSD-2-Clause", "SpdxTag NameBsd2"),
-    ("BSD", "BsdRef | BsdGrant"),
+    ("BSD", "BsdRef | BsdGrant BsdSource | BsdGrant"),
     ("MIT", "MitRef | MitTitle | SpdxMit | MitGrant"),
     ("Proprietary", "AllRights"),
 )

@@ -155,6 +155,37 @@ def test_usual_notices_are_recognised(spark, text, licence):
     assert licenses.digest(licenses.recognise(table)).first()["licenses"] == licence
 
 
+BSD = (
+    "Copyright (c) 2020, Foo\nAll rights reserved.\n\n"
+    "Redistribution and use in source and binary forms, with or without\n"
+    "modification, are permitted provided that the following conditions are met:\n\n"
+    "1. Redistributions of source code must retain the above copyright notice, this\n"
+    "   list of conditions and the following disclaimer.\n\n"
+    "2. Redistributions in binary form must reproduce the above copyright notice,\n"
+    "   this list of conditions and the following disclaimer in the documentation\n"
+    "   and/or other materials provided with the distribution.\n\n"
+)
+NEITHER = (
+    "{} Neither the name of {} nor the names of its\n   contributors may be used to endorse or"
+    " promote products derived from\n   this software without specific prior written permission.\n\n"
+)
+
+
+@pytest.mark.parametrize(
+    "more, licence",
+    [
+        ("", "BSD-2-Clause"),
+        (NEITHER.format("3.", "the copyright holder"), "BSD-3-Clause"),
+        (NEITHER.format("*", "the University of Foo, Bar"), "BSD-3-Clause"),
+        (NEITHER.format("3.", "Foo Inc."), "BSD-3-Clause"),
+    ],
+)
+def test_bsd_licences_are_told_apart(spark, more, licence):
+    body = BSD + more + 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS "AS IS"'
+    table = spark.createDataFrame([(1, body)], "doc_id long, text string")
+    assert licenses.digest(licenses.recognise(table)).first()["licenses"] == licence
+
+
 @pytest.mark.parametrize("together", [0, repeats.TOGETHER])
 def test_repeats(docs, rows, texts, together):
     how = repeats.Repeat(length=60, reach=40)

@@ -30,8 +30,9 @@ OTHER = "[^a-z0-9.+/-]+"
 # The name in "Neither the name of X nor the names of ..." varies and goes too, also one that ends
 # in a stop, such as "Foo Inc.", where ENDS has cut.
 EDGE = r"^[ .+/-]*(?:neither the name of .+ )?nor the names of |^[ .+/-]+|[ .+/-]+$"
-# Every known sentence holds one of these; a text without any is done at once.
-HINT = "(?i)licen|copyright|permi|redistribut|warrant|public domain|spdx|provided|liab|notice|reserved|apache|gpl|bsd"
+# Every known sentence holds one of these; a text without any is done at once. Single words only:
+# what stands between two words of a sentence may be a line end or a comment mark.
+HINT = "(?i)licen|copyright|permi|redistribut|warrant|unencumbered|spdx|provided|liab|notice|reserved|apache|gpl|bsd"
 
 # Known sentences in normal form, and their identifiers.
 SENTENCES = (

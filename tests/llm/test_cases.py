@@ -110,6 +110,18 @@ def test_every_known_sentence_is_in_normal_form(spark):
     assert table.where(~F.col("s").rlike(known.hint)).count() == 0
 
 
+def test_a_known_sentence_passes_the_hint_wrapped_between_any_words(spark):
+    known = licenses.Knowledge()
+    wrapped = []
+    for name, sentence in known.sentences:
+        words = sentence.split(" ")
+        for i in range(len(words)):
+            wrapped.append((name, " ".join(words[:i]) + "\n#  " + " ".join(words[i:])))
+    table = spark.createDataFrame(wrapped, "name string, text string")
+    lost = licenses.recognise(table).where(~F.array_contains("_ids", F.col("name")))
+    assert lost.select("text").take(3) == []
+
+
 GPL = (
     "    This program is free software{} you can redistribute it and/or modify\n"
     "    it under the terms of the GNU General Public License as published by\n"

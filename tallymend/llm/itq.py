@@ -4,7 +4,9 @@ A rotation of the principal axes, learned on a bounded sample, turns vectors
 into binary codes whose bits are balanced. Codes are cut into substrings, one
 table each; two codes meet in a table if their substrings differ in one bit at
 most, and pass if the whole codes differ in no more bits than a pair at the
-threshold would but for rare cases. What passes is reranked by cosine on the
+threshold would but for rare cases. How many tables and bits that takes is measured
+on pairs at the threshold, as vectors with a common direction flip more bits once
+it is subtracted; where no table would tell pairs apart, all tiles are compared. What passes is reranked by cosine on the
 original vectors in double precision, so no link below the threshold is given.
 
 How it scales: equal vectors of a label are one point. Vectors sit in tiles of
@@ -22,7 +24,7 @@ empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -40,8 +42,10 @@ from tallymend.plans.durable import durable
 @dataclass(frozen=True)
 class Quantiser:
     """``sample``: vectors that the rotation is learned on, at most. ``tables``: substrings of
-    a code. ``radius``: bits in which two codes may differ; at cosine 0.93 a pair differs in
-    7.7 of 64 on average. ``tile``: vectors in a tile, ``block``: codes compared at once."""
+    a code, at least. ``radius``: bits in which two codes may differ, at least. Both grow until
+    ``recall`` of ``pairs`` sampled pairs at the threshold is met, up to ``most_tables`` and
+    ``most_radius``; beyond these the tables would pass most pairs. ``tile``: vectors in a tile,
+    ``block``: codes compared at once."""
 
     threshold: float = 0.93
     bits: int = 64
@@ -49,6 +53,10 @@ class Quantiser:
     rounds: int = 30
     tables: int = 6
     radius: int = 16
+    recall: float = 0.99
+    pairs: int = 4000
+    most_tables: int = 10
+    most_radius: int = 24
     tile: int = 256
     block: int = 4096
     seed: int = 1
@@ -83,6 +91,49 @@ def substrings(bits: int, tables: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
 
 
+def threshold_pairs(sample: np.ndarray, how: Quantiser) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of unit vectors at the threshold, kind by kind: sampled vectors turned towards and
+    away from others and at random, and pairs of the sample that are just above it."""
+    rng = np.random.default_rng(how.seed)
+    u = sample[rng.permutation(len(sample))[: how.pairs]]
+    to = sample[rng.integers(len(sample), size=len(u))] - u
+    for turn in (to, -to, rng.standard_normal(u.shape)):
+        turn = turn - (turn * u).sum(axis=1, keepdims=True) * u
+        length = np.linalg.norm(turn, axis=1)
+        some = length > 1e-6
+        turn = turn[some] / length[some, None]
+        yield u[some], how.threshold * u[some] + np.sqrt(1 - how.threshold**2) * turn
+    a, b = [], []
+    for at in range(0, len(u), 256):
+        alike = u[at : at + 256] @ sample.T
+        x, y = np.nonzero((alike >= how.threshold) & (alike < how.threshold + 0.01))
+        a.append(u[at : at + 256][x])
+        b.append(sample[y])
+    a, b = np.concatenate(a), np.concatenate(b)
+    # A few pairs say nothing about a share.
+    if len(a) >= 100:
+        yield a, b
+
+
+def found_share(apart: np.ndarray, bits: int, tables: int, radius: int) -> float:
+    """Share of pairs that some table and the radius let pass; ``apart``: where codes differ."""
+    met = np.zeros(len(apart), bool)
+    for shift, width in substrings(bits, tables):
+        part = (apart >> np.uint64(shift)) & np.uint64((1 << width) - 1)
+        met |= np.bitwise_count(part) <= 1
+    return float((met & (np.bitwise_count(apart) <= radius)).mean())
+
+
+def reach(sample: np.ndarray, model: tuple, how: Quantiser) -> tuple[int, int] | None:
+    """Least (tables, radius) with the recall asked for on every kind of pair; None if beyond bounds."""
+    kinds = [encode(a, *model) ^ encode(b, *model) for a, b in threshold_pairs(sample, how) if len(a)]
+    for tables in range(how.tables, how.most_tables + 1):
+        for radius in range(how.radius, how.most_radius + 1):
+            if all(found_share(x, how.bits, tables, radius) >= how.recall for x in kinds):
+                return tables, radius
+    return None
+
+
 def _packed_rows(rows: DataFrame, key: str, vector: str, label: str) -> DataFrame:
     """(key, label, dim, vector, class); class, a hash of label and vector, is null without a use."""
 
@@ -136,8 +187,9 @@ def _coded(points: DataFrame, models: dict[int, tuple], how: Quantiser) -> DataF
     return points.mapInArrow(run, schema)
 
 
-def models_of(points: DataFrame, how: Quantiser) -> dict[int, tuple]:
-    """A mean and projection per vector length, learned on the first vectors by hash."""
+def models_of(points: DataFrame, how: Quantiser) -> tuple[dict[int, tuple], Quantiser, list[int]]:
+    """A mean and projection per vector length, learned on the first vectors by hash; ``how``
+    with the tables and radius that the recall takes; the lengths that no table serves."""
     by_hash = points.select("dim", "vector").orderBy(F.xxhash64("vector"), "vector")
     rows = by_hash.limit(how.sample).collect()
     of: dict[int, list] = {}
@@ -146,7 +198,18 @@ def models_of(points: DataFrame, how: Quantiser) -> dict[int, tuple]:
     # Lengths that the sample has not met get axes without rotation.
     for row in points.select("dim").distinct().collect():
         of.setdefault(row["dim"], [np.eye(1, row["dim"]).tobytes()])
-    return {dim: learn(unit(matrix(vectors)), how) for dim, vectors in of.items()}
+    models, plans = {}, {}
+    for dim, vectors in of.items():
+        known = unit(matrix(vectors))
+        models[dim] = learn(known, how)
+        plans[dim] = reach(known, models[dim], how)
+    fit = [plan for plan in plans.values() if plan]
+    how = replace(
+        how,
+        tables=max([t for t, _ in fit], default=how.tables),
+        radius=max([r for _, r in fit], default=how.radius),
+    )
+    return models, how, sorted(dim for dim, plan in plans.items() if plan is None)
 
 
 def _tiled(coded: DataFrame, how: Quantiser) -> DataFrame:
@@ -171,9 +234,12 @@ def _tiled(coded: DataFrame, how: Quantiser) -> DataFrame:
     )
 
 
-def met_tiles(tiled: DataFrame, how: Quantiser) -> DataFrame:
+def met_tiles(tiled: DataFrame, how: Quantiser, whole: bool = False) -> DataFrame:
     """(group, i, j): each tile with itself, and tiles with codes that meet in some table.
 
+    ``whole``: there are rows whose column ``whole`` is true; of these every two tiles of a
+    group meet.
+
     Per table and bit the substring without that bit is a key, so codes whose
     substrings differ in one bit at most share a key. Equal codes of a tile are
     one entry.
@@ -190,7 +256,8 @@ def met_tiles(tiled: DataFrame, how: Quantiser) -> DataFrame:
         for bit in range(width)
     ]
     entries = (
-        tiled.select("group", "tile", "code")
+        tiled.where("NOT whole")
+        .select("group", "tile", "code")
         .distinct()
         .withColumn("_k", F.explode(F.array(*masks)))
         .select(F.xxhash64("group", "_k").alias("bucket"), "group", "tile", "code")
@@ -230,7 +297,12 @@ def met_tiles(tiled: DataFrame, how: Quantiser) -> DataFrame:
         _meet(rest, radius, found)
         yield _pair_rows(found)
 
-    return met.mapInArrow(run, "group long, i long, j long").union(itself).distinct()
+    pairs = met.mapInArrow(run, "group long, i long, j long").union(itself)
+    if whole:
+        tiles = tiled.where("whole").select("group", "tile").distinct()
+        first, second = tiles.withColumnRenamed("tile", "i"), tiles.withColumnRenamed("tile", "j")
+        pairs = pairs.union(first.join(second, "group").where("i < j").select("group", "i", "j"))
+    return pairs.distinct()
 
 
 def _meet(rows: np.ndarray, radius: int, found: set[tuple[int, int, int]]) -> None:
@@ -301,17 +373,18 @@ def join(
         )
         .withColumn("node", F.monotonically_increasing_id())
     )
+    models, how, untold = models_of(points, how)
     tiled = durable(
-        _tiled(_coded(points, models_of(points, how), how), how).select(
-            "group", "tile", "code", "node", "copies", "vector"
+        _tiled(_coded(points, models, how), how).select(
+            "group", "tile", "code", "node", "copies", "vector", F.col("dim").isin(untold).alias("whole")
         )
     )
-    met = met_tiles(tiled, how)
+    met = met_tiles(tiled, how, whole=bool(untold))
     # A tile pair is one group of rows; a tile that meets itself is there once.
     both = met.select("group", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("tile"))
     threshold = how.threshold
     found = durable(
-        both.join(tiled.drop("code"), ["group", "tile"])
+        both.join(tiled.drop("code", "whole"), ["group", "tile"])
         .groupBy("group", "i", "j")
         .applyInPandas(lambda pdf: _verify(pdf, threshold), "node long, links long, u long")
     )

@@ -353,6 +353,31 @@ def test_near_duplicate_vectors(spark, embeddings):
     assert itq.join(vectors(spark, embeddings).limit(0)).count() == 0
 
 
+def common_direction(mean: float, n: int = 150) -> np.ndarray:
+    """Unit vectors at a mean cosine of ``mean``; row i and row n + i are at about 0.94."""
+    draw = np.random.default_rng(3)
+    axis = np.eye(1, 64)
+    own, other = draw.standard_normal((2, n, 63)) / np.sqrt(63)
+    alike = (0.94 - mean) / (1 - mean)
+    pair = alike * own + np.sqrt(1 - alike**2) * other
+    rest = np.hstack([np.zeros((2 * n, 1)), np.concatenate([own, pair])])
+    found = np.sqrt(mean) * axis + np.sqrt(1 - mean) * rest
+    return found / np.linalg.norm(found, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("mean", [0.0, 0.85])
+def test_near_duplicates_with_a_common_direction(spark, mean):
+    made = common_direction(mean)
+    table = spark.createDataFrame(
+        [(i, v.tolist(), "a") for i, v in enumerate(made)], "vec_id long, embedding array<double>, label string"
+    )
+    # Small tiles, so that tiles seldom meet by other pairs than those looked for.
+    found = itq.join(table, itq.Quantiser(tile=12)).agg(F.sum("n_links")).first()[0]
+    links = int((made @ made.T >= 0.93).sum()) - len(made)
+    assert links > 100
+    assert 0.97 * links <= found <= links
+
+
 def test_near_copies(docs, rows, texts):
     links, group = brute.near_copies(texts)
     plain = [(links[i], rows[group[i]][0], rows[group[i]][0] == r[0]) for i, r in enumerate(rows)]

@@ -1,8 +1,8 @@
 """Secret scans by corpus-wide ownership frequency. [native: DataFrame functions only]
 
 Three base kinds are found in every text by pattern. A fourth, wider kind takes
-any long token of letters and digits; such a token counts only when the corpus
-says that it belongs to one owner. The credential itself, hashed, is counted by
+any long token that has the shape of a credential; such a token counts only when
+the corpus says that it belongs to one owner and few repositories. The credential itself, hashed, is counted by
 distinct repositories and distinct owners: what many owners hold is a copied
 example, what one owner holds looks live.
 
@@ -30,6 +30,8 @@ HEX = r"[0-9a-f]{24,}"  # a maximal run: the same as [0-9a-f]+ kept from 24 char
 BASE = (("assign", ASSIGN, 2, 6), ("access", ACCESS, 0, 20), ("hex", HEX, 0, 24))
 # The wider kind: long tokens that hold a digit and a letter.
 WIDE = ("owned", r"[A-Za-z0-9+/_=-]{20,}", 0, 20)
+# Where letters and digits, or cases, alternate; a capital that begins a word of three does not count.
+SWITCH = r"(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])|(?<=[a-z])(?=[A-Z](?![a-z]{2}))"
 KINDS = tuple(kind for kind, *_ in (*BASE, WIDE))
 
 SPAN = "array<struct<start:int,kind:int,stop:int,hash:string>>"
@@ -61,6 +63,7 @@ def _spans(text: Column, kind: int, pattern: str, group: int, least: int) -> Col
         good = F.length(part["value"]) >= least
         if kind == len(BASE):
             good &= part["value"].rlike("[0-9]") & part["value"].rlike("[A-Za-z]")
+            good &= credential_shape(part["value"])
         found = F.when(good, F.array_append(state["found"], span)).otherwise(state["found"])
         return F.struct(end.alias("at"), found.alias("found"))
 
@@ -69,6 +72,30 @@ def _spans(text: Column, kind: int, pattern: str, group: int, least: int) -> Col
     return F.when(text.rlike(pattern), found).otherwise(F.array().cast(SPAN))
 
 
+def credential_shape(value: Column) -> Column:
+    """Whether a long token alternates as generated strings do, or repeats almost no character.
+
+    Only its runs of letters and digits count: those of six with both cases, else those of more
+    than 12, so that dates, words, paths, UUIDs and short hashes in file names have none. A
+    switch is due every fourth character with both cases, every fifth with one.
+    """
+    both = value.rlike("[a-z]") & value.rlike("[A-Z]")
+
+    def alternates(run: str, each: int) -> Column:
+        runs = F.array_join(F.regexp_extract_all(value, F.lit(run), F.lit(0)), "-")
+        n = F.length(F.regexp_replace(runs, "-", ""))
+        return (n > 0) & (F.regexp_count(runs, F.lit(SWITCH)) * each >= n)
+
+    n = F.length(value)
+    kinds = F.array_distinct(F.split(value, ""))
+    times = F.transform(kinds, lambda c: n - F.length(F.replace(value, c, F.lit(""))))
+    repeated = F.aggregate(times, F.lit(0.0), lambda a, k: a + F.when(k > 0, k * F.log2(k)).otherwise(0.0))
+    entropy = F.log2(n) - repeated / n
+    even = (entropy >= 4.5) & (entropy >= 0.95 * F.log2(F.least(n, F.lit(62)))) & ~value.contains("/")
+    dense = F.when(both, alternates("[A-Za-z0-9]{6,}", 4)).otherwise(alternates("[A-Za-z0-9]{13,}", 5))
+    return dense | (both & even)
+
+
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``_base`` and ``_wide``: the spans of the base kinds and of the wider kind.
 
@@ -114,13 +141,14 @@ def find_secrets(
     repo: str = "doc_id",
     owner: str = "source",
     copied_from: int = 3,
+    spread_from: int = 10,
 ) -> DataFrame:
     """One row per row of ``docs``: ``key``, ``spans`` and, where there are any, ``text_sha256``.
 
     ``spans`` is an array of (start, kind, stop, hash, n_repos, n_owners,
     verdict), ordered by start, then kind. ``verdict`` is ``example`` when at
-    least ``copied_from`` owners hold the credential, ``live`` when one does,
-    else ``shared``. Base spans stay whatever the verdict; a wider span is kept
+    least ``copied_from`` owners hold the credential, ``live`` when one owner does
+    in fewer than ``spread_from`` repositories, else ``shared``. Base spans stay whatever the verdict; a wider span is kept
     only as ``live``.
     """
     found = durable(
@@ -150,7 +178,7 @@ def find_secrets(
     )
     verdict = (
         F.when(F.col("n_owners") >= copied_from, "example")
-        .when(F.col("n_owners") == 1, "live")
+        .when((F.col("n_owners") == 1) & (F.col("n_repos") < spread_from), "live")
         .otherwise("shared")
     )
     judged = (

@@ -37,16 +37,17 @@ WORD = re.compile(r"\w+").findall
 @dataclass(frozen=True)
 class Training:
     """``rows``: labelled rows used at most. ``buckets``: hashed words. ``strength``: least
-    z-score of a feature's association with the label for it to get a weight, ``support``:
-    least share of the positives that hold it. Chance associations of rare words stay
+    z-score of a feature's association with the label for it to get a weight, ``least``:
+    positives that hold it at least, a count and no share, so the words of a small language
+    or source are learned too. Chance associations of rare words stay
     out, so long clean texts gather no score. ``stems``: a word also counts as its
     beginnings of so many letters, which catches inflected forms."""
 
     rows: int = 8_000
     buckets: int = 1 << 18
     folds: int = 3
-    strength: float = 6.0
-    support: float = 0.02
+    strength: float = 5.0
+    least: int = 5
     stems: tuple[int, ...] = (4, 5)
     penalty: float = 0.05
     earlier_penalty: float = 10.0
@@ -115,7 +116,7 @@ def fit_linear(
     # A half count keeps a single rare hit from looking certain.
     spread = np.sqrt((seen + 1) * share * (1 - share))
     z = (np.abs(with_label - seen * share) - 0.5) / spread
-    chosen = np.flatnonzero((z >= how.strength) & (with_label >= how.support * positives)).astype("i4")
+    chosen = np.flatnonzero((z >= how.strength) & (with_label >= how.least)).astype("i4")
     place = np.full(how.buckets, -1)
     place[chosen] = np.arange(len(chosen))
     kept = place[flat] >= 0

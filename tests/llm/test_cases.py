@@ -6,6 +6,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -225,6 +226,41 @@ def test_toxicity(spark, docs, rows):
         assert found == expected(rows, [(False,)] * len(rows))
 
 
+def test_words_of_a_small_language_are_learned():
+    """Eight of 450 toxic texts are in a language of their own and share one word."""
+    draw = np.random.default_rng(1)
+    sets = [np.unique(draw.integers(100, 4000, 20)).astype("i4") for _ in range(4000)]
+    y = (np.arange(4000) < 450).astype(float)
+    sets = [np.r_[s, 1 if i < 442 else 2].astype("i4") if i < 450 else s for i, s in enumerate(sets)]
+    how = toxicity.Training(buckets=4096)
+    model = toxicity.fit_linear(sets, np.zeros((4000, 0)), y, how)
+    assert {1, 2} <= set(model.words.tolist())
+    assert (model.predict(model.dense(4096), sets, np.zeros((4000, 0)))[442:450] >= 0.5).all()
+
+
+def test_held_out_recall_of_every_language():
+    folder, how = "/root/testdata/sf0.1", toxicity.Training()
+    docs = pq.read_table(f"{folder}/documents.parquet", columns=["doc_id", "text", "lang"]).to_pylist()
+    docs, buckets = {r["doc_id"]: r for r in docs}, toxicity._buckets(how)
+    rows = [r for r in pq.read_table(f"{folder}/labels.parquet").to_pylist() if r["doc_id"] in docs]
+    sets = [toxicity.words_of(docs[r["doc_id"]]["text"], buckets) for r in rows]
+    lang = np.array([str(docs[r["doc_id"]]["lang"]) for r in rows])
+    fold = np.array([r["doc_id"] % 10 for r in rows])
+    y = np.array([[1 - r["quality"], r["toxic"]] for r in rows], "f8")
+    hit = np.zeros(len(rows), bool)
+    for k in range(10):
+        rest, own = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
+        earlier = np.zeros((len(own), 0))
+        for model in toxicity.fit_chain([sets[i] for i in rest], y[rest], how):
+            p = model.predict(model.dense(how.buckets), [sets[i] for i in own], earlier)
+            earlier = np.column_stack([earlier, p])
+        hit[own] = earlier[:, -1] >= 0.5
+    toxic = y[:, 1] == 1
+    assert hit[~toxic].mean() < 0.01
+    for name in set(lang):
+        assert hit[toxic & (lang == name)].mean() > 0.75, name
+
+
 def test_chain_uses_earlier_categories():
     """The second label is the first one, which words alone explain."""
     draw = np.random.default_rng(1)

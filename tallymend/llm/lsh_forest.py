@@ -1,10 +1,11 @@
-"""N-gram Jaccard join by a MinHash LSH forest.
+"""N-gram Jaccard join by MinHash banding, the fixed case of an LSH forest.
 
 A text is the set of its five-word shingles. Its MinHash signature is spread
 over trees; in a tree, texts whose signatures share a prefix meet. Matched
-prefixes are shortened, from the full depth on, only until a pair at the
-threshold is met with the target probability; a shorter prefix would add work
-and no recall that was asked for. Every pair that meets is verified on the whole
+prefixes have one fixed length for all: the longest at which a pair at the
+threshold is met with the target probability, computed from the constants. It
+does not adapt to what was met; a shorter prefix would add work and no recall
+that was asked for. Every pair that meets is verified on the whole
 shingle sets.
 
 How it scales: equal sets are one class, joined by membership only. Signatures

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymend.plans.durable import checkpoint_folder
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -17,3 +21,31 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def text_or_empty(column: str = "text") -> Column:
     """A null text counts as empty."""
     return F.coalesce(F.col(column), F.lit(""))
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared checkpoint folder."""
+    checkpoint_folder(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once as compressed files below the shared checkpoint folder, and read back."""
+    folder = work_folder(df.sparkSession, "table")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def bucketed(df: DataFrame, column: str) -> DataFrame:
+    """``df`` written once, its rows dealt into files by a hash of ``column``.
+
+    A join or group by that column reads the files as they lie, without
+    shuffling them. There are as many buckets as shuffle partitions. The
+    catalog's entry goes at once; the files stay below the checkpoint folder.
+    """
+    spark, name = df.sparkSession, f"bucketed_{uuid.uuid4().hex}"
+    writer = df.write.format("parquet").option("path", work_folder(spark, "bucketed"))
+    writer.bucketBy(shuffle_partitions(spark), column).saveAsTable(name)
+    found = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return found

@@ -17,6 +17,7 @@ from tallymend.llm import (
     secrets,
     token_files,
     toxicity,
+    word_table,
 )
 from tallymend.llm.common import table
 
@@ -86,6 +87,12 @@ def op10_secret_scan(spark, sf_dir):
     return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
 
+@query
+def op11_word_table(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return word_table.digest(word_table.decode(word_table.encode(docs)))
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_license_scan": licenses.digest_sql(),

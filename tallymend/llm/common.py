@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from sys import getsizeof
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,3 +50,27 @@ def bucketed(df: DataFrame, column: str) -> DataFrame:
     found = spark.table(name)
     spark.sql(f"DROP TABLE {name}")
     return found
+
+
+class Memory(dict):
+    """Remembers what ``make`` gave; starts anew beyond ``most`` bytes, by estimate."""
+
+    ENTRY = 120
+
+    def __init__(self, make, most: int = 32 << 20):
+        super().__init__()
+        self.make, self.most, self.held = make, most, 0
+
+    def __missing__(self, key):
+        value = self.make(key)
+        self.keep(key, value)
+        return value
+
+    def keep(self, key, value) -> None:
+        size = self.ENTRY + getsizeof(key) + getsizeof(value)
+        if self.held + size > self.most:
+            self.clear()
+            self.held = 0
+        if size <= self.most:
+            self[key] = value
+            self.held += size

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallymend.llm import (
+    alignment,
     byte_bpe,
     curves,
     itq,
@@ -93,6 +94,11 @@ def op11_word_table(spark, sf_dir):
     return word_table.digest(word_table.decode(word_table.encode(docs)))
 
 
+@query
+def op12_pair_bitmaps(spark, sf_dir):
+    return alignment.digest(table(spark, sf_dir, "documents"))
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_license_scan": licenses.digest_sql(),

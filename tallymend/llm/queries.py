@@ -10,6 +10,7 @@ from tallymend.llm import (
     alignment,
     byte_bpe,
     curves,
+    drift,
     itq,
     licenses,
     lsh_forest,
@@ -99,6 +100,11 @@ def op12_pair_bitmaps(spark, sf_dir):
     return alignment.digest(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_geometric_drift(spark, sf_dir):
+    return drift.digest(drift.cluster(table(spark, sf_dir, "embeddings")))
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_license_scan": licenses.digest_sql(),
@@ -106,4 +112,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_itq_near_duplicates": itq.digest_sql(),
         "op7_jaccard_forest": lsh_forest.digest_sql(),
         "op8_curriculum_mix": mixture.digest_sql(),
+        "op13_geometric_drift": drift.digest_sql(),
     }

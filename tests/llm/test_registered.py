@@ -28,7 +28,7 @@ def run(spark, name: str) -> list[tuple]:
 
 def test_one_query_per_operator():
     numbers = [int(name[2:].split("_")[0]) for name in queries.REGISTERED]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert {*queries.REGISTERED, "pipeline"} <= set(contract.queries())
 
 

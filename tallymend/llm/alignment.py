@@ -34,6 +34,7 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -97,7 +98,8 @@ class Tokens:
 
     def _encode_word(self, word: str) -> bytes:
         spelled = "".join(map(self._letters.__getitem__, word.encode()))
-        return np.array([t.id for t in self._a_model.tokenize(spelled)], "<u4").tobytes()
+        ids = [t.id for t in self._a_model.tokenize(spelled)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _a_ids(self, part: str) -> bytes:
         part = " " + part
@@ -121,7 +123,7 @@ class Tokens:
             some = new[at : at + TOGETHER]
             for part, b in zip(some, self._b.encode(some, num_threads=1), strict=True):
                 a = self._a_ids(part)
-                ids = (a, np.array(b, "<u4").tobytes()) if self._spell(part, a, b) else None
+                ids = (a, struct.pack(f"<{len(b)}I", *b)) if self._spell(part, a, b) else None
                 found[part] = ids
                 if len(part) <= REMEMBERED:
                     self._parts.keep(part, ids)

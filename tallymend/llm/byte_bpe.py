@@ -35,11 +35,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallymend.llm.common import Memory
+
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 # Leaves of at most so many bytes are merged directly.
 LEAF = 16
-# Entries that a worker remembers, characters that it splits at once, rows that it holds.
-REMEMBERED = 1 << 19
+# Bytes that a task remembers, characters that it splits at once, rows that it holds.
+REMEMBERED = 24 << 20
 BLOCK = 1 << 20
 ROWS = 256
 # A block may be cut before a blank between visible characters: a match that
@@ -54,20 +56,6 @@ LATIN_PIECES = re.compile(
 ).findall
 
 
-class Memory(dict):
-    """Remembers what ``make`` gave; starts anew when full, so its size is bounded."""
-
-    def __init__(self, make, most: int = REMEMBERED):
-        super().__init__()
-        self.make, self.most = make, most
-
-    def __missing__(self, key):
-        if len(self) >= self.most:
-            self.clear()
-        self[key] = value = self.make(key)
-        return value
-
-
 class ByteBpe:
     def __init__(self, ranks: dict[bytes, int], pattern: str, leaf: int = LEAF):
         self.ranks, self.leaf = ranks, leaf
@@ -77,9 +65,14 @@ class ByteBpe:
         )
         self._split = regex.compile(pattern).findall
         self._quick = LATIN_PIECES if pattern == public_tokenizers.PATTERN else None
-        self._own = Memory(self._merge_token)
-        self._stable = Memory(self._is_stable)
-        self._pieces = Memory(self._encode_piece)
+        self._own = Memory(self._merge_token, REMEMBERED // 6)
+        self._stable = Memory(self._is_stable, REMEMBERED // 6)
+        self._pieces = Memory(self._encode_piece, REMEMBERED)
+
+    def forget(self) -> None:
+        """Empty the memories: Spark keeps its Python workers, and this object, from task to task."""
+        for memory in (self._own, self._stable, self._pieces):
+            memory.clear()
 
     # --- one piece
 
@@ -171,23 +164,41 @@ def _lists(buffers: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, np.frombuffer(b"".join(buffers), "<i4"))
 
 
+def _decoded(bpe: ByteBpe, lists: pa.ListArray) -> pa.Array:
+    flat, at = lists.values.to_numpy(), lists.offsets.to_numpy()
+    found = [bpe.decode(flat[a:b].tolist()) for a, b in zip(at, at[1:], strict=False)]
+    return pa.array(found, pa.binary())
+
+
 def encode(
     docs: DataFrame,
     text: str = "text",
     path: str = RANKS,
     pattern: str = public_tokenizers.PATTERN,
     ids: str = "ids",
+    data: str | None = None,
 ) -> DataFrame:
-    """``docs`` with the text replaced by its ``ids``; every task works on its own rows."""
-    kept = [c for c in docs.columns if c not in (text, ids)]
+    """``docs`` with the text replaced by its ``ids``; every task works on its own rows.
+
+    ``data`` also gives what the ids decode to, as ``decode`` would, by the same worker.
+    """
+    made = [ids] if data is None else [ids, data]
+    kept = [c for c in docs.columns if c not in (text, *made)]
     schema = T.StructType([docs.schema[c] for c in kept]).add(ids, T.ArrayType(T.IntegerType()))
+    if data is not None:
+        schema = schema.add(data, T.BinaryType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(path, pattern)
-        for batch in sliced(batches, ROWS):
-            found = _lists([bpe.encode(t) for t in batch.column(text).to_pylist()])
-            columns = [*(batch.column(c) for c in kept), found]
-            yield pa.RecordBatch.from_arrays(columns, [*kept, ids])
+        try:
+            for batch in sliced(batches, ROWS):
+                found = _lists([bpe.encode(t) for t in batch.column(text).to_pylist()])
+                columns = [*(batch.column(c) for c in kept), found]
+                if data is not None:
+                    columns.append(_decoded(bpe, found))
+                yield pa.RecordBatch.from_arrays(columns, [*kept, *made])
+        finally:
+            bpe.forget()
 
     return docs.select(*kept, text).mapInArrow(run, schema)
 
@@ -205,12 +216,7 @@ def decode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(path, pattern)
         for batch in sliced(batches, ROWS):
-            lists = batch.column(ids)
-            flat, at = lists.values.to_numpy(), lists.offsets.to_numpy()
-            found = pa.array(
-                [bpe.decode(flat[a:b].tolist()) for a, b in zip(at, at[1:], strict=False)],
-                pa.binary(),
-            )
+            found = _decoded(bpe, batch.column(ids))
             columns = [*(batch.column(f.name) for f in schema[:-1]), found]
             yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema])
 

@@ -66,11 +66,14 @@ class Memory(dict):
         self.keep(key, value)
         return value
 
+    def clear(self) -> None:
+        super().clear()
+        self.held = 0
+
     def keep(self, key, value) -> None:
         size = self.ENTRY + getsizeof(key) + getsizeof(value)
         if self.held + size > self.most:
             self.clear()
-            self.held = 0
         if size <= self.most:
             self[key] = value
             self.held += size

@@ -81,7 +81,7 @@ def op8_curriculum_mix(spark, sf_dir):
 @query
 def op9_byte_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return byte_bpe.digest(byte_bpe.decode(byte_bpe.encode(docs)))
+    return byte_bpe.digest(byte_bpe.encode(docs, data="decoded"))
 
 
 @query

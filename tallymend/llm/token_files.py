@@ -39,17 +39,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallymend.llm.byte_bpe import Memory, sliced
-from tallymend.llm.common import shuffle_partitions
+from tallymend.llm.byte_bpe import sliced
+from tallymend.llm.common import Memory, shuffle_partitions
 from tallymend.plans.durable import checkpoint_folder
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 # Bytes of ids in a frame; a longer document takes several.
 FRAME = 1 << 18
-# Rows that a worker holds as texts, and pieces that it remembers.
+# Rows that a worker holds as texts, and bytes of pieces that a task remembers.
 ROWS = 256
-REMEMBERED = 300_000
+REMEMBERED = 64 << 20
 
 # Fixed values of the format.
 LINE_END = b"\n"
@@ -75,7 +75,7 @@ class WordEncoder:
 
     In Latin text the tokenizer's pieces are runs of letters, single digits and
     runs of marks, after lower-casing; equal pieces have equal ids, so the
-    library's model spells each of them once. A text with other characters,
+    library's model spells a piece that is remembered once. A text with other characters,
     contractions or special tokens goes through the library word by word: its
     pieces never cross a blank or a line end.
     """
@@ -91,11 +91,20 @@ class WordEncoder:
         self._model = self.library.model
         self._letters = [letter for _, letter in sorted(byte_letters().items())]
         self._pieces = Memory(self._encode_piece, REMEMBERED)
-        self._words = Memory(self._encode_word, REMEMBERED)
+        self._words = Memory(self._encode_word, REMEMBERED // 8)
+
+    def forget(self) -> None:
+        """Empty the memories: Spark keeps its Python workers from task to task."""
+        for memory in (self._pieces, self._words):
+            memory.clear()
 
     def _encode_piece(self, piece: str) -> bytes:
-        spelled = "".join(map(self._letters.__getitem__, piece.encode()))
-        return np.array([t.id for t in self._model.tokenize(spelled)], "<u4").tobytes()
+        # Visible ASCII characters are written as they are.
+        spelled = piece
+        if not piece.isascii():
+            spelled = "".join(map(self._letters.__getitem__, piece.encode()))
+        ids = [t.id for t in self._model.tokenize(spelled)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _encode_word(self, word: str) -> bytes:
         ids = self.library.encode(word, add_special_tokens=False).ids if word else []
@@ -236,8 +245,11 @@ def write_tokens(
                 for name, body in zip(keys, texts, strict=True):
                     yield name, encoder.encode(body) + end
 
-        for row in file_rows(documents(), TaskContext.get().partitionId()):
-            yield pa.RecordBatch.from_pydict({"value": pa.array([row], pa.binary())})
+        try:
+            for row in file_rows(documents(), TaskContext.get().partitionId()):
+                yield pa.RecordBatch.from_pydict({"value": pa.array([row], pa.binary())})
+        finally:
+            encoder.forget()
 
     rows = ordered.mapInArrow(run, "value binary")
     # A cast of binary to string keeps the bytes; the writer stores them unchanged.

@@ -29,9 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymend.llm.byte_bpe import Memory
+from tallymend.llm.byte_bpe import sliced
+from tallymend.llm.common import Memory
 
 WORD = re.compile(r"\w+").findall
+# Rows that a worker holds, bytes of words that a task remembers.
+ROWS = 256
+REMEMBERED = 32 << 20
 
 
 @dataclass(frozen=True)
@@ -62,7 +66,7 @@ def _buckets(how: Training) -> Memory:
         stems = [f"{word[:n]}-" for n in how.stems if len(word) > n]
         return tuple(zlib.crc32(f.encode()) % how.buckets for f in (word, *stems))
 
-    return Memory(features)
+    return Memory(features, REMEMBERED)
 
 
 def words_of(text: str | None, buckets: Memory) -> np.ndarray:
@@ -163,7 +167,7 @@ def hashed(docs: DataFrame, how: Training, text: str = "text", words: str = "wor
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets = _buckets(how)
-        for batch in batches:
+        for batch in sliced(batches, ROWS):
             found = [words_of(t, buckets) for t in batch.column(text).to_pylist()]
             columns = [*(batch.column(c) for c in kept), pa.array(found, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(columns, [*kept, words])
@@ -219,7 +223,7 @@ def score(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets = _buckets(how)
         tables = [model.dense(how.buckets) for model in sent.value]
-        for batch in batches:
+        for batch in sliced(batches, ROWS):
             sets = [words_of(t, buckets) for t in batch.column(text).to_pylist()]
             earlier = np.zeros((len(sets), 0))
             for model, table in zip(sent.value, tables, strict=True):

@@ -100,7 +100,8 @@ class WordEncoder:
         if word in self._special:
             return struct.pack("<I", self._special[word])
         spelled = "".join(map(self._letters.__getitem__, word.encode()))
-        return np.array([t.id for t in self._model.tokenize(spelled)], "<u4").tobytes()
+        ids = [t.id for t in self._model.tokenize(spelled)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class Numbers(dict):

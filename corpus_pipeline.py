@@ -39,7 +39,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded_sha256): the ids, and a hash of what they decode to."""
-    tokens = byte_bpe.decode(byte_bpe.encode(docs.select("doc_id", "text")))
+    tokens = byte_bpe.encode(docs.select("doc_id", "text"), data="decoded")
     return tokens.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -58,8 +58,8 @@ B_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 CHUNK = 16 << 20
 PLACES = 1 << 16
 ROWS = 256
-# Parts longer than this are not remembered; parts encoded at once.
-REMEMBERED = 200
+# Bytes of parts and of words that a task remembers, longest part among them; parts encoded at once.
+PARTS, WORDS, LONGEST = 128 << 20, 64 << 20, 200
 TOGETHER = 1 << 14
 
 # How B's vocabulary writes a blank and a single byte.
@@ -93,27 +93,29 @@ class Tokens:
             np.array([len(of.get(i, b"")) for i in range(max(of) + 1)], "i8")
             for of in (self.a_bytes, self.b_bytes)
         )
-        self._words = Memory(self._encode_word, 24 << 20)
-        self._parts = Memory(None, 40 << 20)
+        self._words = Memory(self._encode_word, WORDS)
+        self._parts = Memory(None, PARTS)
 
-    def _encode_word(self, word: str) -> bytes:
-        spelled = "".join(map(self._letters.__getitem__, word.encode()))
+    def _encode_word(self, word: str) -> bytes | None:
+        """Ids of A; None if they do not spell the word."""
+        data = word.encode()
+        spelled = "".join(map(self._letters.__getitem__, data))
         ids = [t.id for t in self._a_model.tokenize(spelled)]
+        if data != b"".join(map(self.a_bytes.__getitem__, ids)):
+            return None
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _a_ids(self, part: str) -> bytes:
+    def _ids(self, part: str, b: list[int]) -> tuple[bytes, bytes] | None:
+        """Ids of a part with the blank before it; None if those of A or B do not spell it."""
         part = " " + part
+        if b"".join(map(self.b_bytes.__getitem__, b)) != part.encode():
+            return None
         if LATIN(part):
             words = LATIN_PIECES(part)
         else:
             words = [part[a:b] for _, (a, b) in self._a_split(part)]
-        return b"".join(map(self._words.__getitem__, words))
-
-    def _spell(self, part: str, a: bytes, b: list[int]) -> bool:
-        data = (" " + part).encode()
-        return data == b"".join(map(self.b_bytes.__getitem__, b)) and data == b"".join(
-            map(self.a_bytes.__getitem__, np.frombuffer(a, "<u4").tolist())
-        )
+        found = list(map(self._words.__getitem__, words))
+        return None if None in found else (b"".join(found), struct.pack(f"<{len(b)}I", *b))
 
     def encode(self, parts: list[str]) -> list[tuple[bytes, bytes] | None]:
         """(ids of A, ids of B) of every part with the blank before it; None if they do not spell it."""
@@ -122,10 +124,8 @@ class Tokens:
         for at in range(0, len(new), TOGETHER):
             some = new[at : at + TOGETHER]
             for part, b in zip(some, self._b.encode(some, num_threads=1), strict=True):
-                a = self._a_ids(part)
-                ids = (a, struct.pack(f"<{len(b)}I", *b)) if self._spell(part, a, b) else None
-                found[part] = ids
-                if len(part) <= REMEMBERED:
+                found[part] = ids = self._ids(part, b)
+                if len(part) <= LONGEST:
                     self._parts.keep(part, ids)
         return [found[p] for p in parts]
 

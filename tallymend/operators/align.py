@@ -199,8 +199,10 @@ def hot_keys(both: Sides, hot_rows: int) -> list[int]:
         .agg(F.expr(f"approx_top_k_accumulate(digest, {SKETCH_ITEMS}) AS sketch"))
     )
     merged = f"approx_top_k_combine(sketch, {SKETCH_ITEMS})"
-    top = lanes.selectExpr(f"approx_top_k_estimate({merged}, {HOT_KEYS}) AS top").first()["top"]
-    return sorted(row["item"] for row in top or () if row["count"] >= hot_rows)
+    # Grouped, so that empty tables give no row: Spark cannot combine no sketches.
+    top = lanes.groupBy(F.lit("all")).agg(F.expr(f"approx_top_k_estimate({merged}, {HOT_KEYS})").alias("top"))
+    found = [row for r in top.collect() for row in r["top"] or ()]
+    return sorted(row["item"] for row in found if row["count"] >= hot_rows)
 
 
 def align(

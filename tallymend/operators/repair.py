@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
+from dataclasses import dataclass
+from functools import cached_property, reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame
@@ -12,8 +13,9 @@ from pyspark.sql import types as T
 
 from tallymend.functions.cells import TOLERANCE, cell_equal, literal, orderable, path, raw_text
 from tallymend.functions.labels import update_label
-from tallymend.operators.align import number_rows
+from tallymend.operators.align import BROADCAST_BYTES, list_bytes, number_rows
 from tallymend.operators.report import MISMATCH
+from tallymend.plans.durable import durable
 from tallymend.plans.scope import PARTITION, Scope
 
 PLAN_KEYS = ("primary_key", "year", "month", "week", "occurrence")
@@ -91,11 +93,6 @@ def _assignable(dtype: T.DataType) -> bool:
     return isinstance(dtype, T.AtomicType) and not isinstance(dtype, (T.BinaryType, T.VariantType))
 
 
-def _numbered(dest: DataFrame, key: str, columns: Sequence[str] | None) -> DataFrame:
-    compared = [c for c in columns or dest.columns if c not in (key, *PARTITION)]
-    return number_rows(dest, key, compared)
-
-
 def _meets(rows: DataFrame, other: DataFrame, key_type: T.DataType) -> Column:
     """Whether a numbered row is the one that a plan's row names."""
     return reduce(
@@ -104,7 +101,7 @@ def _meets(rows: DataFrame, other: DataFrame, key_type: T.DataType) -> Column:
             rows["primary_key"] == key_from_text(other["primary_key"], key_type),
             rows["occurrence"].cast("string") == other["occurrence"],
         ]
-        + [rows[n].eqNullSafe(other[n]) for n in ("year", "month", "week")],
+        + [rows[n].eqNullSafe(other[n]) for n in PLACE[1:]],
     )
 
 
@@ -113,28 +110,111 @@ def _now(row: T.StructType, column: str) -> str:
     return raw_text(path("dest", column), row[column].dataType)
 
 
+PLACE = ("primary_key", "year", "month", "week")
+
+
+@dataclass(frozen=True)
+class Planned:
+    """A plan set against its destination, in work that grows with the plan.
+
+    ``places``: the keys and partitions it names, each once. ``rows``: all
+    destination rows of those, numbered as for the report. Plan and rows are
+    written once, so that repair, purge and summary read the same.
+    """
+
+    dest: DataFrame
+    key: str
+    plan: DataFrame
+    places: DataFrame
+    rows: DataFrame
+
+    @cached_property
+    def met(self) -> DataFrame:
+        """Updates that meet a row which still holds what the report saw."""
+        return durable(_met(self.plan, self.rows, self.key, self.dest.schema[self.key].dataType))
+
+
+def set_against(
+    plan: DataFrame, dest: DataFrame, key: str, columns: Sequence[str] | None = None
+) -> Planned:
+    """``plan`` against ``dest``; ``columns`` are the compared ones, in the report's order.
+
+    Only rows of planned keys are numbered, shuffled or sorted: a key keeps all
+    its rows of the partition, so their numbers are those of the report.
+    """
+    plan = durable(plan)
+    places = _places(plan, dest.schema[key].dataType)
+    touched = dest.join(_listed(places), _at_place(dest, key, places), "left_semi")
+    compared = [c for c in columns or dest.columns if c not in (key, *PARTITION)]
+    return Planned(dest, key, plan, places, durable(number_rows(touched, key, compared)))
+
+
+def files_of(plan: DataFrame, dest: DataFrame, key: str, file: str) -> list[str]:
+    """The files that hold rows of planned keys; ``file`` is the column with their names.
+
+    At most one name per file of the table.
+    """
+    places = _places(plan, dest.schema[key].dataType)
+    held = dest.select(key, *PARTITION, file)
+    held = held.join(_listed(places), _at_place(held, key, places), "left_semi")
+    return sorted(r[0] for r in held.select(file).distinct().collect())
+
+
+def _places(plan: DataFrame, key_type: T.DataType) -> DataFrame:
+    """Every key and partition that a plan names, once."""
+    named = key_from_text(F.col("primary_key"), key_type).alias("primary_key")
+    return plan.select(named, "year", "month", "week").distinct()
+
+
+def _listed(places: DataFrame) -> DataFrame:
+    """Broadcast if it is small, so that the rows of the table it meets are not shuffled."""
+    return F.broadcast(places) if list_bytes(places) <= BROADCAST_BYTES else places
+
+
+def _at_place(dest: DataFrame, key: str, places: DataFrame) -> Column:
+    partition = zip(PARTITION, PLACE[1:], strict=True)
+    same = [dest[p].eqNullSafe(places[n]) for p, n in partition]
+    return reduce(and_, same, dest[key] == places["primary_key"])
+
+
 def apply_repairs(
-    dest: DataFrame, plan: DataFrame, key: str, columns: Sequence[str] | None = None
+    dest: DataFrame,
+    plan: DataFrame,
+    key: str,
+    columns: Sequence[str] | None = None,
+    planned: Planned | None = None,
 ) -> DataFrame:
-    """The destination with every planned value written, in one join.
+    """The destination with every planned value written.
+
+    Rows of planned keys get their updates in one join; a repeated key's
+    updates meet the rows they were found in. All other rows pass as they are,
+    unshuffled while the list of planned keys can be broadcast. A cell is
+    written only if it still holds what the report saw.
+    """
+    planned = planned or set_against(plan, dest, key, columns)
+    rest = dest.join(
+        _listed(planned.places), _at_place(dest, key, planned.places), "left_anti"
+    )
+    return repaired_rows(planned).unionByName(rest)
+
+
+def repaired_rows(planned: Planned) -> DataFrame:
+    """The rows of planned keys, with every planned value written.
 
-    The rows of a key are numbered as they were for the report, so a repeated
-    key's updates meet the rows they were found in; ``columns`` are the
-    compared ones, in the report's order. A cell is written only if it still
-    holds what the report saw. The plan is pivoted to one row per key and
-    number with a field per column, so all columns are updated together.
+    The plan is pivoted to one row per key and number with a field per column,
+    so all columns are updated together.
     """
-    rows = _numbered(dest, key, columns)
+    dest, rows, key = planned.dest, planned.rows, planned.key
     row = rows.schema["dest"].dataType
     values = [c for c in dest.columns if c not in (key, *PARTITION)]
-    fixes = plan.groupBy(*PLAN_KEYS).agg(
+    fixes = planned.plan.groupBy(*PLAN_KEYS).agg(
         *(
             F.max(F.when(F.col("column") == c, F.struct("source_raw", "dest_raw"))).alias(f"fix_{i}")
             for i, c in enumerate(values)
         )
     )
     joined = rows.join(fixes, _meets(rows, fixes, dest.schema[key].dataType), "left").select(
-        *(rows[p].alias(name) for p, name in zip(("year", "month", "week"), PARTITION, strict=True)),
+        *(rows[p].alias(name) for p, name in zip(PLACE[1:], PARTITION, strict=True)),
         "dest",
         *(f"fix_{i}" for i in range(len(values))),
     )
@@ -145,8 +225,7 @@ def apply_repairs(
             own = F.from_json(own, dest.schema[c].dataType.simpleString())
         as_seen = fix.isNotNull() & F.expr(_now(row, c)).eqNullSafe(fix["dest_raw"])
         updated[c] = F.when(as_seen, _assigned(fix["source_raw"], dest, c)).otherwise(own)
-    changed = joined.select(*(updated[c].alias(c) for c in dest.columns))
-    return changed.unionByName(dest.where(F.col(key).isNull()))
+    return joined.select(*(updated[c].alias(c) for c in dest.columns))
 
 
 def _assigned(raw: Column, dest: DataFrame, column: str) -> Column:
@@ -154,16 +233,13 @@ def _assigned(raw: Column, dest: DataFrame, column: str) -> Column:
     return raw.try_cast(dtype) if _assignable(dtype) else F.lit(None).cast(dtype)
 
 
-def _updates(
-    plan: DataFrame, dest: DataFrame, key: str, columns: Sequence[str] | None = None
-) -> DataFrame:
+def _met(plan: DataFrame, rows: DataFrame, key: str, key_type: T.DataType) -> DataFrame:
     """Planned updates that meet a destination row which still holds what was seen."""
-    rows = _numbered(dest, key, columns)
     row = rows.schema["dest"].dataType
     now = "CASE column " + " ".join(
         f"WHEN {literal(f.name)} THEN {_now(row, f.name)}" for f in row if f.name != key
     )
-    met = rows.join(plan, _meets(rows, plan, dest.schema[key].dataType)).select(
+    met = rows.join(plan, _meets(rows, plan, key_type)).select(
         *(plan[c] for c in (*PLAN_KEYS, "column", "dest_raw")), "dest"
     )
     return met.where(F.expr(f"{now} END").eqNullSafe(F.col("dest_raw"))).select(*PLAN_KEYS, "column")
@@ -175,28 +251,41 @@ def purge_repaired(
     dest: DataFrame,
     key: str,
     columns: Sequence[str] | None = None,
+    planned: Planned | None = None,
 ) -> DataFrame:
     """The report without the records whose update was written."""
-    done = _updates(plan, dest, key, columns)
-    repaired = reduce(
+    done = (planned or set_against(plan, dest, key, columns)).met
+    return found.join(done, _done(found, done), "left_anti")
+
+
+def purged_records(found: DataFrame, planned: Planned) -> DataFrame:
+    """The records of the report whose update was written."""
+    return found.join(planned.met, _done(found, planned.met), "left_semi")
+
+
+def _done(found: DataFrame, done: DataFrame) -> Column:
+    return reduce(
         and_,
         [found["type"] == MISMATCH]
         + [found[n] == done[n] for n in ("primary_key", "column", "occurrence")]
-        + [found[n].eqNullSafe(done[n]) for n in ("year", "month", "week")],
+        + [found[n].eqNullSafe(done[n]) for n in PLACE[1:]],
     )
-    return found.join(done, repaired, "left_anti")
 
 
 def repair_summary(
-    plan: DataFrame, dest: DataFrame, key: str, columns: Sequence[str] | None = None
+    plan: DataFrame,
+    dest: DataFrame,
+    key: str,
+    columns: Sequence[str] | None = None,
+    planned: Planned | None = None,
 ) -> DataFrame:
     """Destination rows updated per partition and column.
 
     A NULL column marks a partition's total, a NULL partition the run's.
     """
     return (
-        _updates(plan, dest, key, columns)
-        .selectExpr(f"{update_label()} AS partition", "column")
+        (planned or set_against(plan, dest, key, columns))
+        .met.selectExpr(f"{update_label()} AS partition", "column")
         .rollup("partition", "column")
         .agg(F.count("*").alias("rows_updated"))
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,9 @@ from tallymend.operators import report as rep
 from tallymend.plans.durable import durable
 from tallymend.plans.scope import PARTITION, Scope, tag_partition
 from tallymend.sources import sinks
+from tallymend.sources.files import FileTable
 from tallymend.sources.jdbc import jdbc_options
+from tallymend.sources.reportlog import ReportLog
 from tallymend.sources.tables import DATABASES, load, read_side
 
 
@@ -65,6 +68,7 @@ class Outcome:
     repaired: DataFrame | None
     remaining: DataFrame
     summary: DataFrame | None = None
+    planned: rp.Planned | None = None
 
 
 def repair(
@@ -86,13 +90,14 @@ def repair(
     plan = rp.plan_repairs(found, dest, skip_nulls=skip_nulls, scope=scope)
     if dry_run:
         return Outcome(found, plan, None, found)
-    plan = durable(plan)
+    planned = rp.set_against(plan, dest, key, columns)
     return Outcome(
         found,
-        plan,
-        rp.apply_repairs(dest, plan, key, columns),
-        rp.purge_repaired(found, plan, dest, key, columns),
-        rp.repair_summary(plan, dest, key, columns),
+        planned.plan,
+        rp.apply_repairs(dest, planned.plan, key, columns, planned),
+        rp.purge_repaired(found, planned.plan, dest, key, columns, planned),
+        rp.repair_summary(planned.plan, dest, key, columns, planned),
+        planned,
     )
 
 
@@ -133,6 +138,8 @@ def repair_destination(spark: SparkSession, job: Job, found: DataFrame | None =
     repaired.
     """
     path = job.output.get("path")
+    # A purge leaves records alone that are reported again after this version.
+    as_of = sinks.latest_version(spark, path) if path else 0
     if found is None:
         found = sinks.read_latest(spark, path) if path else None
         if found is None:
@@ -152,8 +159,8 @@ def repair_destination(spark: SparkSession, job: Job, found: DataFrame | None =
     whole = outcome.repaired.drop(*PARTITION).unionByName(outside).select(*(f"`{n}`" for n in names))
     physical = [job.destination.columns.get(n, n.removeprefix(OTHER)) for n in names]
     remaining = durable(outcome.remaining)
-    if path:
-        sinks.write_version(remaining, path)
+    if path and as_of:
+        ReportLog(spark, path).purge(rp.purged_records(found, outcome.planned), as_of)
     return replace(outcome, repaired=whole.toDF(*physical), remaining=remaining)
 
 
@@ -171,6 +178,38 @@ def apply_to(outcome: Outcome, target: str, *, table: bool = False) -> None:
         sinks.write_version(outcome.repaired, target)
 
 
+def repair_files(
+    found: DataFrame,
+    table: FileTable,
+    key: str,
+    tag: Callable[[DataFrame], DataFrame],
+    *,
+    columns: list[str] | None = None,
+    skip_nulls: bool = True,
+    scope: Scope | None = None,
+) -> tuple[int, Outcome]:
+    """Repair a table of files by rewriting only the files that hold planned keys.
+
+    ``tag`` adds the partition columns (``tag_partition``). Files are found by
+    key and partition columns alone. A planned key's rows are numbered over all files that
+    hold some, so repeated keys meet their updates. The other files belong to
+    the new version under their own names. Returns its number and the outcome,
+    ``repaired`` being the rewritten rows.
+    """
+    version, files = table.snapshot()
+    whole = tag(table.read(files))
+    plan = durable(rp.plan_repairs(found, whole, skip_nulls=skip_nulls, scope=scope))
+    touched = rp.files_of(plan, tag(table.read(files, with_file=True)), key, FileTable.FILE)
+    dest = tag(table.read(touched))
+    planned = rp.set_against(plan, dest, key, columns)
+    repaired = rp.apply_repairs(dest, plan, key, columns, planned)
+    if touched:
+        version = table.replace(version, touched, repaired.drop(*PARTITION))
+    remaining = rp.purge_repaired(found, plan, dest, key, columns, planned)
+    summary = rp.repair_summary(plan, dest, key, columns, planned)
+    return version, Outcome(found, plan, repaired, remaining, summary, planned)
+
+
 def store(found: DataFrame, job: Job) -> None:
     """Upsert a report where the job's output says.
 

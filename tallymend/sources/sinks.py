@@ -7,10 +7,11 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tallymend.sources.commits import CommitLog, new_folder
+from tallymend.sources.reportlog import ReportLog
 
 WRITE_ROWS = 1000
 KEY_LENGTH = 500
@@ -51,64 +52,53 @@ def upsert(existing: DataFrame, new: DataFrame, key: Sequence[str] = MERGE_KEY)
     return kept.select(*(F.col(c) if c in key else F.col("kept")[c].alias(c) for c in columns))
 
 
-def write_records(records: DataFrame, path: str, key: Sequence[str] = MERGE_KEY) -> None:
+def write_records(records: DataFrame, path: str, key: Sequence[str] = MERGE_KEY) -> int:
     """Append to a folder of parquet files, or upsert where there is a key.
 
-    Records without any key column are appended as they are.
+    Records without any key column are appended as they are. An upsert is a
+    commit of the report's log: it writes these records only. Returns the
+    commit's number, 0 for an append.
     """
     key = [k for k in key if k in records.columns]
     if not {"primary_key", "column"} & set(records.columns):
         append(records, path)
-    else:
-        spark = records.sparkSession
-        existing = read_latest(spark, path)
-        write_version(one_per_key(records, key) if existing is None else upsert(existing, records, key), path)
+        return 0
+    return ReportLog(records.sparkSession, path).upsert(records, key)
 
 
 def append(records: DataFrame, path: str) -> None:
     records.write.mode("append").parquet(path)
 
 
-LOG_SCHEMA = T.StructType(
-    [T.StructField("version", T.LongType()), T.StructField("folder", T.StringType())]
-)
-
-
-def _latest(spark: SparkSession, path: str) -> tuple[int, str]:
-    """Number and folder of the newest complete version; (0, "") for none."""
-    try:
-        log = spark.read.schema(LOG_SCHEMA).parquet(f"{path}/versions")
-        newest = log.agg(F.max(F.struct("version", "folder"))).first()[0]
-    except AnalysisException as exc:
-        if exc.getCondition() == "PATH_NOT_FOUND":
-            return 0, ""
-        raise
-    return (newest["version"], newest["folder"]) if newest else (0, "")
+def latest_version(spark: SparkSession, path: str) -> int:
+    """Number of the newest commit under ``path``; 0 for none."""
+    return CommitLog(spark, path).latest()
 
 
-def latest_version(spark: SparkSession, path: str) -> int:
-    """Number of the newest complete version under ``path``; 0 for none."""
-    return _latest(spark, path)[0]
+VERSION = "version"
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame | None:
-    version, folder = _latest(spark, path)
-    return spark.read.parquet(f"{path}/{folder}") if version else None
+    """The newest version of a table, or the records that hold in a report; None for nothing."""
+    _, facts = next(CommitLog(spark, path).newest_first(), (0, None))
+    if facts is None:
+        return None
+    if facts["kind"] == VERSION:
+        return spark.read.parquet(f"{path}/{facts['folder']}")
+    return ReportLog(spark, path).read()
 
 
-def write_version(df: DataFrame, path: str) -> int:
-    """Write a new version and then name it in the version log.
+def write_version(df: DataFrame, path: str, based_on: int | None = None) -> int:
+    """Write a whole new version and then commit it.
 
-    The version being read is never overwritten, one that failed half way is
-    never named, and two writers at a time use folders of their own.
+    The version being read is never overwritten, and one that failed half way
+    is never named. With ``based_on``, the version that ``df`` was made from, a
+    version that another writer has committed since raises Conflict.
     """
-    spark = df.sparkSession
-    version = latest_version(spark, path) + 1
-    folder = f"data-{version}-{uuid.uuid4().hex}"
+    folder = new_folder("data")
     df.write.parquet(f"{path}/{folder}")
-    named = spark.createDataFrame([(version, folder)], LOG_SCHEMA)
-    named.coalesce(1).write.mode("append").parquet(f"{path}/versions")
-    return version
+    log = CommitLog(df.sparkSession, path)
+    return log.commit({"kind": VERSION, "folder": folder}, based_on, lambda other: based_on is not None)
 
 
 def merge_into(records: DataFrame, table: str, key: Sequence[str] = MERGE_KEY) -> None:

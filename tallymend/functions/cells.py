@@ -172,6 +172,16 @@ def number_text(number: str) -> str:
     )
 
 
+def exact(dtype: T.DataType) -> bool:
+    """Whether the type holds numbers that a double may round."""
+    return isinstance(dtype, (T.IntegralType, T.DecimalType))
+
+
+def exact_text(raw: str) -> str:
+    """``number_text`` of an exact number, without a detour over a double."""
+    return f"coalesce(cast(try_cast({raw} AS decimal(38,5)) AS string), cast({raw} AS string))"
+
+
 @dataclass(frozen=True)
 class Cell:
     """One value, read: ``number`` is set, or ``text`` for anything else."""
@@ -189,7 +199,7 @@ class Cell:
         day is one), so equal canonical text means equal cells.
         """
         if self.kind == NUMBER:
-            return number_text(self.number)
+            return exact_text(self.raw) if exact(self.dtype) else number_text(self.number)
         if self.kind == TEXT:
             return f"coalesce({number_text(self.number)}, {self.text})"
         return self.text
@@ -227,19 +237,45 @@ def canonical(col: str, dtype: T.DataType, forms: Sequence[tuple[str, str]] = DA
     return read_cell(col, dtype, forms).canonical()
 
 
+def _close(a: str, b: str, tolerance: float) -> str:
+    near = f" OR abs({a} - {b}) < double('{float(tolerance)!r}')" if tolerance > 0 else ""
+    return f"{a} = {b}{near}"
+
+
+# Digits of a decimal whose differences fit Spark's widest decimal without rounding.
+DIGITS = 37
+
+
+def _close_exactly(a: Cell, b: Cell, tolerance: float) -> str:
+    """Two integers or decimals; NULL where one is.
+
+    Numbers with too many digits for a common decimal are compared as they are
+    if their types agree, else as doubles.
+    """
+    if isinstance(a.dtype, T.IntegralType) and isinstance(b.dtype, T.IntegralType) and tolerance <= 1:
+        return f"{a.raw} = {b.raw}"
+    scale = max(t.scale if isinstance(t, T.DecimalType) else 0 for t in (a.dtype, b.dtype))
+    wide = f"{a.raw} = {b.raw}" if a.dtype == b.dtype else _close(a.number, b.number, tolerance)
+    if scale > DIGITS:
+        return wide
+    x, y = (f"try_cast({c.raw} AS decimal({DIGITS},{scale}))" for c in (a, b))
+    return f"CASE WHEN {x} IS NOT NULL AND {y} IS NOT NULL THEN {_close(x, y, tolerance)} ELSE {wide} END"
+
+
 def cells_equal(a: Cell, b: Cell, tolerance: float = TOLERANCE) -> str:
     """Tolerant, type-blind equality; never NULL, and NULL equals only NULL.
 
     Numbers are settled by the tolerance alone: strictly less than it, or
     identical, which covers infinities and NaN. A tolerance of zero asks for
-    identical numbers. Cells of different kinds differ.
+    identical numbers. Integers and decimals are compared as such, not as
+    doubles. Cells of different kinds differ.
     """
     kinds = {a.kind, b.kind}
     if kinds == {DAY}:
         return f"(to_date({a.raw}) <=> to_date({b.raw}))"
-    close = f"{a.number} = {b.number}"
-    if tolerance > 0:
-        close += f" OR abs({a.number} - {b.number}) < double('{float(tolerance)!r}')"
+    close = _close(a.number, b.number, tolerance)
+    if kinds == {NUMBER} and exact(a.dtype) and exact(b.dtype):
+        close = _close_exactly(a, b, tolerance)
     both_null = f"({a.raw} IS NULL AND {b.raw} IS NULL)"
     if kinds == {NUMBER}:
         return f"coalesce({close}, {both_null})"

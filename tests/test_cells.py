@@ -125,3 +125,29 @@ def test_hash(spark, algo):
 
 def test_white_space_is_what_strip_removes():
     assert set(c.WHITE_SPACE) == {chr(i) for i in range(0x110000) if chr(i).isspace()}
+
+
+@pytest.mark.parametrize(
+    ("a", "a_type", "b", "b_type", "equal"),
+    [
+        ("9007199254740993", "bigint", "9007199254740992", "bigint", False),
+        ("9007199254740993", "bigint", "9007199254740993", "decimal(38,0)", True),
+        ("9007199254740993", "bigint", "9007199254740992", "decimal(20,2)", False),
+        ("9" * 38, "decimal(38,0)", "9" * 37 + "8", "decimal(38,0)", False),
+        ("9" * 38, "decimal(38,0)", "9" * 38, "decimal(38,0)", True),
+        ("1234567890123456789.000001", "decimal(38,6)", "1234567890123456789.000002", "decimal(38,6)", True),
+        ("1234567890123456789.00001", "decimal(38,6)", "1234567890123456789.00002", "decimal(38,6)", False),
+        ("9007199254740993", "bigint", "9007199254740992", "double", True),
+        ("5", "int", "5.000001", "decimal(10,6)", True),
+        ("NULL", "bigint", "0", "decimal(38,0)", False),
+        ("NULL", "bigint", "NULL", "decimal(38,0)", True),
+    ],
+)
+def test_exact_numbers_are_not_compared_as_doubles(spark, a, a_type, b, b_type, equal):
+    quoted = [v if v == "NULL" else f"'{v}'" for v in (a, b)]
+    row = spark.range(1).selectExpr(f"cast({quoted[0]} AS {a_type}) AS a", f"cast({quoted[1]} AS {b_type}) AS b")
+    types = [row.schema[n].dataType for n in ("a", "b")]
+    assert row.selectExpr(c.cell_equal("a", types[0], "b", types[1])).first()[0] is equal
+    texts = row.selectExpr(*(c.canonical(n, t) for n, t in zip(("a", "b"), types, strict=True))).first()
+    # Equal digests never hide a difference.
+    assert equal or texts[0] != texts[1]

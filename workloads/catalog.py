@@ -18,10 +18,12 @@ from tallymend.operators import diff as df
 from tallymend.operators import repair as rp
 from tallymend.operators import report as rep
 from tallymend.plans.durable import checkpoint_folder, durable
-from tallymend.plans.job import reconcile, reconcile_tables
+from tallymend.plans.job import reconcile, reconcile_tables, repair_files
 from tallymend.plans.scope import PARTITION, Scope, expand_scope, tag_partition
 from tallymend.sources import sinks
 from tallymend.sources import tables as tb
+from tallymend.sources.files import FileTable
+from tallymend.sources.reportlog import ReportLog
 from workloads import pairs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -392,6 +394,31 @@ def side_row_counts(spark, sf_dir):
 # --- hashes and differences
 
 
+def _far_numbers(spark: SparkSession, sf_dir: str, planted: bool) -> DataFrame:
+    """Order keys far beyond what a double holds exactly; the destination is off by one now and then."""
+    key = "o_orderkey + CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END" if planted else "o_orderkey"
+    rows = pairs.table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS id",
+        "cast(year(o_orderdate) AS string) AS year",
+        "'00' AS month",
+        f"9007199254740992L + ({key}) AS big",
+        f"cast('1000000000000000000000000000000' AS decimal(38,0)) + cast({key} AS decimal(20,0)) AS wide",
+        f"cast(cast('1234567890123456789' AS decimal(38,7)) + cast({key} AS decimal(20,7)) / 10000000"
+        " AS decimal(38,7)) AS fine",
+    )
+    return tag_partition(rows, "year", "month")
+
+
+@query
+def exact_numbers(spark, sf_dir):
+    """Integers and decimals that are equal as doubles: equal rows are dropped by digest first."""
+    source, dest = (_far_numbers(spark, sf_dir, planted) for planted in (False, True))
+    found = reconcile_tables(
+        source, dest, "id", ["big", "wide", "fine"], Compare(use_row_hash=True, discard_equal_first=True)
+    )
+    return found.select("primary_key", "type", "column", "source_raw", "dest_raw")
+
+
 @query
 def discard_by_hash(spark, sf_dir):
     kept = df.discard_equal(_aligned_orders(spark, sf_dir), pairs.ORDER_VALUES)
@@ -595,6 +622,20 @@ def append_records(spark, sf_dir):
     return spark.read.parquet(folder)
 
 
+@query
+def report_log(spark, sf_dir):
+    """Three upserts, a purge and a compaction of the report's log."""
+    log = ReportLog(spark, _new_folder(spark))
+    first, later = _two_runs(spark, sf_dir)
+    key = ["primary_key", "column", "year", "month", "week"]
+    log.upsert(first, key)
+    log.upsert(later, key)
+    log.upsert(first.where("month = '05'").withColumn("dest_value", F.lit("third")), key)
+    log.purge(log.read().where("year = '1997'"), log.version())
+    log.compact()
+    return log.read()
+
+
 # --- repair
 
 
@@ -643,6 +684,22 @@ def repair_apply(spark, sf_dir):
     return rp.apply_repairs(dest, plan, "id", pairs.ORDER_VALUES).drop(*PARTITION)
 
 
+@query
+def repair_copy_on_write(spark, sf_dir):
+    """The same repair of a table of files: only files with planned keys are rewritten."""
+    folder = _new_folder(spark)
+    pairs.orders_dest(spark, sf_dir).repartitionByRange(16, "id").write.parquet(folder)
+    table = FileTable(spark, folder, f"{folder}-versions")
+    repair_files(
+        _stored_report(spark, sf_dir),
+        table,
+        "id",
+        lambda rows: tag_partition(rows, "year", "month", "week"),
+        columns=pairs.ORDER_VALUES,
+    )
+    return table.current()
+
+
 @query
 def purge_repaired(spark, sf_dir):
     found, dest = _stored_report(spark, sf_dir), _dest(spark, sf_dir)

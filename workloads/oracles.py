@@ -402,6 +402,30 @@ def oracle_sql() -> dict[str, str]:
         ' (SELECT 1 FROM later l WHERE l.primary_key = f.primary_key AND l."column" = f."column"'
         " AND l.year = f.year AND l.month = f.month AND l.week = f.week)",
     )
+    runs = " UNION ALL ".join(
+        (
+            f"SELECT {record}, 1 AS n FROM first_run",
+            f"SELECT {record}, 2 FROM later",
+            "SELECT primary_key, \"column\", source_value, 'third', year, month, week, 3 FROM first_run"
+            " WHERE month = '05'",
+        )
+    )
+    sql["report_log"] = _end(
+        REPORT + _SECOND_RUN,
+        f"SELECT {record} FROM (SELECT *, row_number() OVER (PARTITION BY primary_key, \"column\", year,"
+        f" month, week ORDER BY n DESC) AS rn FROM ({runs})) WHERE rn = 1 AND year <> '1997'",
+    )
+    # Off by one in big and wide; off by 1e-7, within the tolerance, in fine.
+    far = " UNION ALL ".join(
+        f"SELECT cast(o_orderkey AS varchar) AS primary_key, 'mismatch' AS type, '{name}' AS \"column\","
+        f" cast({base} + o_orderkey AS varchar) AS source_raw, cast({base} + o_orderkey + 1 AS varchar)"
+        " AS dest_raw FROM orders WHERE o_orderkey % 7 = 0"
+        for name, base in (
+            ("big", "9007199254740992::bigint"),
+            ("wide", "1000000000000000000000000000000::hugeint"),
+        )
+    )
+    sql["exact_numbers"] = far
     sql["append_records"] = _end(
         REPORT + _SECOND_RUN, f"SELECT {record} FROM first_run UNION ALL SELECT {record} FROM later"
     )
@@ -427,6 +451,7 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["repair_plan"] = _end(REPORT + _PLAN, "SELECT * FROM plan")
     sql["repair_apply"] = _end(REPORT + _REPAIRED, f"SELECT {orders_columns} FROM repaired")
+    sql["repair_copy_on_write"] = sql["repair_apply"]
     sql["purge_repaired"] = _end(
         REPORT + _PLAN,
         f"SELECT {_REPORT_COLUMNS} FROM report WHERE type <> 'mismatch' OR source_value IS NULL"

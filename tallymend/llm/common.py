@@ -24,6 +24,16 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def with_row(docs: DataFrame, *own) -> DataFrame:
+    """``row``, a struct of all columns, beside columns of one's own: so their names never clash."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *own)
+
+
+def rows_of(packed: DataFrame, columns: list[str]) -> list[Column]:
+    """The given columns of ``row``."""
+    return [F.col("row")[c].alias(c) for c in columns]
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the shared checkpoint folder."""
     checkpoint_folder(spark)

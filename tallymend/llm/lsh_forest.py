@@ -33,6 +33,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymend.llm.byte_bpe import sliced
+from tallymend.llm.common import rows_of, with_row
 from tallymend.llm.graph import components, local_forest
 from tallymend.plans.durable import durable
 
@@ -42,6 +44,10 @@ TILE_TEXTS = 512
 TILE_SHINGLES = 120_000
 
 
+# Rows that a worker holds.
+ROWS = 256
+
+
 @dataclass(frozen=True)
 class Forest:
     """``recall``: least probability that a pair at the threshold meets."""
@@ -233,7 +239,7 @@ def verified(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, ROWS):
             sets = [shingles(body, forest.words) for body in batch.column("text").to_pylist()]
             # Another text may share the key.
             own = [
@@ -319,14 +325,14 @@ def keep_one(
     kept = (
         join(docs, forest, key, text)
         .where("kept")
-        .select(F.col(key).cast("long").alias("_key"), F.col("text_hash").alias("_hash"))
+        .select(F.col(key).cast("long").alias("key"), F.col("text_hash").alias("hash"))
         .distinct()
     )
-    own = docs.withColumn("_key", F.col(key).cast("long")).withColumn("_hash", F.xxhash64(text))
-    null_key = F.col("_key").isNull()
-    met = own.where(~null_key).join(kept, ["_key", "_hash"], "left_semi")
+    own = with_row(docs, F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("hash"))
+    met = own.where("key IS NOT NULL").join(kept, ["key", "hash"], "left_semi")
     # A row without key stands for nobody else.
-    return met.unionByName(own.where(null_key)).dropDuplicates(["_key", "_hash"]).select(*docs.columns)
+    stay = met.unionByName(own.where("key IS NULL")).dropDuplicates(["key", "hash"])
+    return stay.select(*rows_of(stay, docs.columns))
 
 
 def digest_sql(forest: Forest = Forest()) -> str:

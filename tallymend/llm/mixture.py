@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymend.llm.common import shuffle_partitions, text_or_empty
+from tallymend.llm.common import rows_of, shuffle_partitions, text_or_empty, with_row
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -108,12 +108,13 @@ def assign(
     order = F.md5(F.concat(F.lit(mix.seed + ":"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
     # A null source has a key of its own and takes part in the plain joins below.
     owner = F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit("n"))
-    sized = (
-        docs.drop(*added)
-        .withColumn("size", F.regexp_count(text_or_empty(text), F.lit(WORD)).cast("long"))
-        .withColumn("_order", order)
-        .withColumn("_slice", F.substring("_order", 1, 3))
-        .withColumn("_owner", owner)
+    sized = with_row(
+        docs,
+        F.regexp_count(text_or_empty(text), F.lit(WORD)).cast("long").alias("size"),
+        order.alias("_order"),
+        F.substring(order, 1, 3).alias("_slice"),
+        owner.alias("_owner"),
+        F.col(key).alias("_key"),
     )
     slices = sized.groupBy("_owner", "_slice").agg(F.sum("size").alias("_words"))
     sources = slices.groupBy("_owner").agg(F.sum("_words").alias("source_size"))
@@ -130,7 +131,7 @@ def assign(
     )
     within = (
         Window.partitionBy("_owner", "_slice")
-        .orderBy("_order", key, "size")
+        .orderBy("_order", "_key", "size")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     placed = sized.join(begins.drop("_words"), ["_owner", "_slice"]).withColumn(
@@ -147,7 +148,7 @@ def assign(
         placed.withColumn("_starts", starts)
         .withColumn("taken", F.size("_starts") * F.col("size"))
         .withColumn("positions", F.transform("_starts", _inverse_demand))
-        .select(*[c for c in docs.columns if c not in added], *added)
+        .select(*rows_of(placed, [c for c in docs.columns if c not in added]), *added)
     )
 
 
@@ -158,9 +159,18 @@ def training_order(mixed: DataFrame) -> DataFrame:
     return copies.repartitionByRange(parts, "position").sortWithinPartitions("position")
 
 
+# A document is taken twice at most.
+TIMES = ("position", "second_position")
+
+
 def digest(mixed: DataFrame, key: str = "doc_id") -> DataFrame:
     return mixed.select(
-        key, "size", "source_size", "target", "taken", F.get("positions", F.lit(0)).alias("position")
+        key,
+        "size",
+        "source_size",
+        "target",
+        "taken",
+        *(F.get("positions", F.lit(i)).alias(name) for i, name in enumerate(TIMES)),
     )
 
 
@@ -196,8 +206,11 @@ placed AS (
 taken AS (
   SELECT *, len(list_filter(range({mix.most}),
     lambda t: size > 0 AND (t * source_size + begins)::DOUBLE + size::DOUBLE / 2 <= target)) AS times,
-    begins::DOUBLE / target * (w0 + w1) / 2 AS area FROM placed)
+    begins::DOUBLE / target * (w0 + w1) / 2 AS area,
+    (source_size + begins)::DOUBLE / target * (w0 + w1) / 2 AS second_area FROM placed)
 SELECT doc_id, size, source_size, target, (times * size)::BIGINT AS taken,
   CASE WHEN times = 0 THEN NULL WHEN area <= 0 THEN 0.0
-    ELSE 2 * area / (w0 + sqrt(w0 * w0 + 2 * (w1 - w0) * area)) END AS position
+    ELSE 2 * area / (w0 + sqrt(w0 * w0 + 2 * (w1 - w0) * area)) END AS position,
+  CASE WHEN times < 2 THEN NULL WHEN second_area <= 0 THEN 0.0
+    ELSE 2 * second_area / (w0 + sqrt(w0 * w0 + 2 * (w1 - w0) * second_area)) END AS second_position
 FROM taken"""

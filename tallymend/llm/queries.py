@@ -39,7 +39,8 @@ def op1_license_scan(spark, sf_dir):
 
 @query
 def op2_repeat_removal(spark, sf_dir):
-    return repeats.digest(repeats.remove_repeats(table(spark, sf_dir, "documents")))
+    docs = table(spark, sf_dir, "documents")
+    return repeats.digest(repeats.remove_repeats(docs, passage=repeats.Passage()))
 
 
 @query

@@ -26,6 +26,10 @@ members, reduced before the shuffle, so a passage in a third of all rows is one
 row per task. Phrases travel as hashes and numbers, texts only in joins by
 document. Equal texts are one text: with a second copy all of it is repeated.
 
+Shorter passages. Passages of more than 50 words that documents share are often
+shorter than ``length`` bytes. ``Passage`` reports the documents that have one, by
+anchors: in every run of words the least hash of its shingles.
+
 Cases: a null text is empty; a text shorter than ``length`` is kept whole;
 repeated rows are copies of each other, so both go; extra columns are not read;
 an empty table gives an empty result.
@@ -43,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymend.llm.byte_bpe import sliced
-from tallymend.llm.common import text_or_empty
+from tallymend.llm.common import bucketed, text_or_empty
 from tallymend.plans.durable import durable
 
 GRAM = 8
@@ -66,6 +70,18 @@ class Repeat:
         return self.length - self.reach + 1
 
 
+@dataclass(frozen=True)
+class Passage:
+    """A passage that documents share, shorter than what is removed.
+
+    Every run of ``words`` words that two documents have is found; what is found are runs of
+    ``shingle`` words at least.
+    """
+
+    words: int = 51
+    shingle: int = 40
+
+
 def _least(keys: np.ndarray, width: int) -> np.ndarray:
     """The minimum of every ``width`` neighbours: of a block's end and the next one's begin."""
     n = len(keys) - width + 1
@@ -261,6 +277,53 @@ STRING = pa.schema(
 )
 
 
+def anchors(text: str, how: Passage) -> np.ndarray:
+    """Hashes of some runs of ``shingle`` words, one at least of every run of ``words`` words.
+
+    Of neighbouring hashes the least is taken, as many as start in a run of
+    ``words``: equal runs have equal anchors.
+    """
+    words = text.split()
+    if len(words) < how.words:
+        return np.empty(0, "i8")
+    own = np.fromiter((_hash(w.encode()) for w in words), "u8", len(words))
+    # Hashes of 1, 2, 4, ... words; the shingle's is put together from them.
+    found, size, power = None, 1, np.uint64(0x9E3779B97F4A7C15)
+    covered = 0
+    while size <= how.shingle:
+        if how.shingle & size:
+            later = own[covered:]
+            found = later if found is None else found[: len(later)] * power + later
+            covered += size
+        own = own[:-size] * power + own[size:]
+        power, size = np.uint64(int(power) ** 2 % 2**64), 2 * size
+    keys = found[: len(words) - how.shingle + 1]
+    keys = (keys ^ (keys >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return np.unique(_least(keys, how.words - how.shingle + 1)).view("i8")
+
+
+def sharing(texts: DataFrame, how: Passage) -> DataFrame:
+    """(tid) of the texts that share a passage with another row of ``texts`` (tid, text).
+
+    Anchors are stored by their hash, then counted and met without a shuffle.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, ROWS):
+            own = [anchors(t, how) for t in batch.column("text").to_pylist()]
+            counts = [len(a) for a in own]
+            columns = [np.repeat(np.asarray(batch.column(c)), counts) for c in ("tid", "place")]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c) for c in (np.concatenate(own), *columns)], ["anchor", "tid", "place"]
+            )
+
+    rows = texts.select("tid", F.monotonically_increasing_id().alias("place"), "text")
+    stored = bucketed(rows.mapInArrow(run, "anchor long, tid long, place long"), "anchor")
+    twice = stored.groupBy("anchor").agg(F.min("place").alias("p"), F.max("place").alias("q"))
+    met = stored.select("anchor", "tid").join(twice.where("p <> q").select("anchor"), "anchor")
+    return met.select("tid").distinct()
+
+
 def _finish(rows: DataFrame, how: Repeat) -> DataFrame:
     """(key, n_bytes, spans, kept) from (key, text, copies, marks); no copies: not the first one."""
     span = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
@@ -294,8 +357,9 @@ def _finish(rows: DataFrame, how: Repeat) -> DataFrame:
                 ["key", "n_bytes", "spans", "kept"],
             )
 
+    name = rows.schema["key"].dataType.simpleString()
     return rows.mapInArrow(
-        run, "key long, n_bytes long, spans array<struct<start:long,stop:long>>, kept binary"
+        run, f"key {name}, n_bytes long, spans array<struct<start:long,stop:long>>, kept binary"
     )
 
 
@@ -309,11 +373,13 @@ def remove_repeats(
     key: str = "doc_id",
     text: str = "text",
     together: int = TOGETHER,
+    passage: Passage | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: (key, n_bytes, spans, kept).
 
     ``spans`` are the maximal removed runs of bytes, as (start, stop); ``kept``
-    is what remains, as bytes.
+    is what remains, as bytes. With ``passage`` also ``shares_passage``: whether the
+    row has such a passage in common with another row. That removes nothing.
     """
     texts = docs.select(F.col(key).cast("long").alias("key"), text_or_empty(text).alias("text"))
     texts = texts.select(
@@ -368,10 +434,20 @@ def remove_repeats(
 
     own = marks.groupBy("tid").agg(F.collect_set(F.struct("start", "stop")).alias("marks"))
     judged = firsts.join(own, "tid", "left")
-    rows = texts.join(judged, ["tid", "doc"], "left").select(
-        "key", F.encode("text", "utf-8").alias("text"), "copies", "marks"
+    rows = texts.join(judged, ["tid", "doc"], "left")
+    if passage is None:
+        rows = rows.select("key", F.encode("text", "utf-8").alias("text"), "copies", "marks")
+        return _finish(rows, how).withColumnRenamed("key", key)
+    found = sharing(texts.select("tid", "text"), passage).withColumn("shares_passage", F.lit(True))
+    rows = rows.join(found, "tid", "left").select(
+        # The flag rides with the key, which passes through as it is.
+        F.struct("key", F.coalesce("shares_passage", F.lit(False)).alias("shares_passage")).alias("key"),
+        F.encode("text", "utf-8").alias("text"),
+        "copies",
+        "marks",
     )
-    return _finish(rows, how).withColumnRenamed("key", key)
+    done = _finish(rows, how)
+    return done.select(F.col("key.key").alias(key), "n_bytes", "spans", "kept", "key.shares_passage")
 
 
 def digest(found: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -382,4 +458,5 @@ def digest(found: DataFrame, key: str = "doc_id") -> DataFrame:
         removed.alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        *(["shares_passage"] if "shares_passage" in found.columns else []),
     )

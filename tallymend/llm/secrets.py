@@ -243,7 +243,7 @@ def redact(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "
 
     def step(s: Column, span: Column) -> Column:
         begin = F.greatest(span["start"], s["at"])
-        gap = F.substring(F.col(text), s["at"] + 1, begin - s["at"])
+        gap = F.substring(docs[text], s["at"] + 1, begin - s["at"])
         mark = F.when(
             span["start"] >= s["at"], F.concat(F.lit("["), F.get(names, span["kind"]), F.lit("]"))
         ).otherwise("")
@@ -253,7 +253,7 @@ def redact(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "
         )
 
     def finish(s: Column) -> Column:
-        return F.concat(s["done"], F.substring(F.col(text), s["at"] + 1, F.length(text)))
+        return F.concat(s["done"], F.substring(docs[text], s["at"] + 1, F.length(docs[text])))
 
     marked = (
         found.select(
@@ -265,8 +265,8 @@ def redact(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "
         .dropDuplicates(["_key", "_sha"])
     )
     same = docs[key].eqNullSafe(marked["_key"]) & (F.sha2(docs[text], 256) == marked["_sha"])
-    cleaned = F.when(F.col("_marks").isNull(), F.col(text)).otherwise(
-        F.aggregate("_marks", state, step, finish)
+    cleaned = F.when(marked["_marks"].isNull(), docs[text]).otherwise(
+        F.aggregate(marked["_marks"], state, step, finish)
     )
     return docs.join(marked, same, "left").select(
         *[cleaned.alias(c) if c == text else docs[c] for c in docs.columns]

@@ -105,3 +105,11 @@ def near_copies(texts: list[str | None], threshold: float = 0.8) -> tuple[list[i
     ]
     count = Counter(x for pair in linked for x in pair)
     return [count[i] for i in range(len(sets))], groups(len(sets), linked)
+
+
+def sharing(texts: list[str | None], n: int) -> list[bool]:
+    """Whether a text has ``n`` words in a row in common with another text."""
+    words = [(t or "").split() for t in texts]
+    runs = [{tuple(w[i : i + n]) for i in range(len(w) - n + 1)} for w in words]
+    held = Counter(r for own in runs for r in own)
+    return [any(held[r] > 1 for r in own) for own in runs]

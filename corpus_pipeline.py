@@ -4,6 +4,12 @@ Every stage takes (spark, docs, sf_dir), works on all rows its predecessor
 kept, and returns the columns of ``documents`` (the last one its own).
 ``run`` chains them; a caller may also store each stage's result and hand the
 reread rows to the next.
+
+Cases, for every stage: a null text is an empty one (no words, no copies, no secrets, size 0,
+no ids); a null source is a source of its own; repeated rows are judged alike, and
+of them one stays as a copy; ties go to the smaller id, or to the order by hash in the mix;
+an empty table gives an empty result; further columns come through unchanged, whatever
+their names, up to the last stage, which has columns of its own.
 """
 
 from __future__ import annotations
@@ -12,13 +18,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymend.llm import byte_bpe, lsh_forest, mixture, secrets, toxicity
-from tallymend.llm.common import table
+from tallymend.llm.common import rows_of, table, with_row
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the chain of models calls toxic go."""
-    judged = toxicity.judge(docs, table(spark, sf_dir, "labels"), carry=docs.columns)
-    return judged.where("NOT toxic").select(*docs.columns)
+    packed = with_row(docs, "doc_id", "text")
+    judged = toxicity.judge(packed, table(spark, sf_dir, "labels"), carry=["row"])
+    return judged.where("NOT toxic").select(*rows_of(judged, docs.columns))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +41,8 @@ def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for every time a document is trained on, in training order."""
-    return mixture.training_order(mixture.assign(docs)).select(*docs.columns)
+    ordered = mixture.training_order(mixture.assign(with_row(docs, "doc_id", "text", "source")))
+    return ordered.select(*rows_of(ordered, docs.columns))
 
 
 def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

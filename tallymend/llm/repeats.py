@@ -74,12 +74,12 @@ class Repeat:
 class Passage:
     """A passage that documents share, shorter than what is removed.
 
-    Every run of ``words`` words that two documents have is found; what is found are runs of
-    ``shingle`` words at least.
+    Every run of ``words`` words that two documents have is found; what is found
+    are runs of ``shingle`` words at least, or equal texts of ``words`` words.
     """
 
     words: int = 51
-    shingle: int = 40
+    shingle: int = 32
 
 
 def _least(keys: np.ndarray, width: int) -> np.ndarray:
@@ -303,7 +303,7 @@ def anchors(text: str, how: Passage) -> np.ndarray:
 
 
 def sharing(texts: DataFrame, how: Passage) -> DataFrame:
-    """(tid) of the texts that share a passage with another row of ``texts`` (tid, text).
+    """(tid) of the texts that share a passage with a different one of ``texts`` (tid, text).
 
     Anchors are stored by their hash, then counted and met without a shuffle.
     """
@@ -311,16 +311,14 @@ def sharing(texts: DataFrame, how: Passage) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, ROWS):
             own = [anchors(t, how) for t in batch.column("text").to_pylist()]
-            counts = [len(a) for a in own]
-            columns = [np.repeat(np.asarray(batch.column(c)), counts) for c in ("tid", "place")]
+            tids = np.repeat(np.asarray(batch.column("tid")), [len(a) for a in own])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c) for c in (np.concatenate(own), *columns)], ["anchor", "tid", "place"]
+                [pa.array(np.concatenate(own)), pa.array(tids)], ["anchor", "tid"]
             )
 
-    rows = texts.select("tid", F.monotonically_increasing_id().alias("place"), "text")
-    stored = bucketed(rows.mapInArrow(run, "anchor long, tid long, place long"), "anchor")
-    twice = stored.groupBy("anchor").agg(F.min("place").alias("p"), F.max("place").alias("q"))
-    met = stored.select("anchor", "tid").join(twice.where("p <> q").select("anchor"), "anchor")
+    stored = bucketed(texts.mapInArrow(run, "anchor long, tid long"), "anchor")
+    twice = stored.groupBy("anchor").agg(F.min("tid").alias("p"), F.max("tid").alias("q"))
+    met = stored.join(twice.where("p <> q").select("anchor"), "anchor")
     return met.select("tid").distinct()
 
 
@@ -434,19 +432,19 @@ def remove_repeats(
 
     own = marks.groupBy("tid").agg(F.collect_set(F.struct("start", "stop")).alias("marks"))
     judged = firsts.join(own, "tid", "left")
-    rows = texts.join(judged, ["tid", "doc"], "left")
+    text = F.encode("text", "utf-8").alias("text")
     if passage is None:
-        rows = rows.select("key", F.encode("text", "utf-8").alias("text"), "copies", "marks")
+        rows = texts.join(judged, ["tid", "doc"], "left").select("key", text, "copies", "marks")
         return _finish(rows, how).withColumnRenamed("key", key)
-    found = sharing(texts.select("tid", "text"), passage).withColumn("shares_passage", F.lit(True))
-    rows = rows.join(found, "tid", "left").select(
-        # The flag rides with the key, which passes through as it is.
-        F.struct("key", F.coalesce("shares_passage", F.lit(False)).alias("shares_passage")).alias("key"),
-        F.encode("text", "utf-8").alias("text"),
-        "copies",
-        "marks",
-    )
-    done = _finish(rows, how)
+    met = sharing(texts.select("tid", "text"), passage).withColumn("met", F.lit(True))
+    rows = texts.join(judged.join(met, "tid", "left"), ["tid", "doc"], "left")
+    # A text that stands twice shares all it has; only its first row has ``copies``.
+    copied = F.coalesce(F.col("copies") > 1, F.lit(True))
+    long = F.size(F.split("text", r"\s+")) >= passage.words
+    shares = F.coalesce("met", F.lit(False)) | (copied & long)
+    # The flag rides with the key, which passes through as it is.
+    packed = F.struct("key", shares.alias("shares_passage")).alias("key")
+    done = _finish(rows.select(packed, text, "copies", "marks"), how)
     return done.select(F.col("key.key").alias(key), "n_bytes", "spans", "kept", "key.shares_passage")
 
 

@@ -41,8 +41,8 @@ def test_repeat_removal(spark, documents):
     plain = brute.repeats([t for _, t in documents], 400)
     found = run(spark, "op2_repeat_removal")
     assert [r[:5] for r in found] == [(key, *row) for (key, _), row in zip(documents, plain, strict=True)]
-    # Every shared run of 51 words is found, and nothing below 40 words.
-    long, short = (brute.sharing([t for _, t in documents], n) for n in (51, 40))
+    # Every shared run of 51 words is found, and nothing below 32 words.
+    long, short = (brute.sharing([t for _, t in documents], n) for n in (51, 32))
     flags = [r[5] for r in found]
     assert any(long) and not all(short)
     assert all(b or not a for a, b in zip(long, flags, strict=True))

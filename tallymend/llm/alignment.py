@@ -34,7 +34,7 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import re
-import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -103,7 +103,7 @@ class Tokens:
         ids = [t.id for t in self._a_model.tokenize(spelled)]
         if data != b"".join(map(self.a_bytes.__getitem__, ids)):
             return None
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return _packed(ids)
 
     def _ids(self, part: str, b: list[int]) -> tuple[bytes, bytes] | None:
         """Ids of a part with the blank before it; None if those of A or B do not spell it."""
@@ -115,19 +115,27 @@ class Tokens:
         else:
             words = [part[a:b] for _, (a, b) in self._a_split(part)]
         found = list(map(self._words.__getitem__, words))
-        return None if None in found else (b"".join(found), struct.pack(f"<{len(b)}I", *b))
+        return None if None in found else (b"".join(found), _packed(b))
 
     def encode(self, parts: list[str]) -> list[tuple[bytes, bytes] | None]:
         """(ids of A, ids of B) of every part with the blank before it; None if they do not spell it."""
-        found = {p: self._parts.get(p, 0) for p in parts}
-        new = [p for p, ids in found.items() if ids == 0]
+        found = list(map(self._parts.get, parts))
+        if None not in found:
+            return found
+        new = list({p for p, ids in zip(parts, found, strict=True) if ids is None})
+        made = {}
         for at in range(0, len(new), TOGETHER):
             some = new[at : at + TOGETHER]
             for part, b in zip(some, self._b.encode(some, num_threads=1), strict=True):
-                found[part] = ids = self._ids(part, b)
-                if len(part) <= LONGEST:
+                made[part] = ids = self._ids(part, b)
+                # What does not spell its part is rare, and not remembered.
+                if ids is not None and len(part) <= LONGEST:
                     self._parts.keep(part, ids)
-        return [found[p] for p in parts]
+        return [made[p] if ids is None else ids for p, ids in zip(parts, found, strict=True)]
+
+
+def _packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
 
 
 def _blocks(text: str) -> Iterator[list[str]]:
@@ -188,8 +196,7 @@ class Aligned:
             if None in found:
                 self.n_a = self.n_b = self.n_groups = 0
                 return
-            a = np.frombuffer(b"".join(ids for ids, _ in found), "<u4").astype("i8")
-            b = np.frombuffer(b"".join(ids for _, ids in found), "<u4").astype("i8")
+            a, b = (np.frombuffer(b"".join(ids), "<u4").astype("i8") for ids in zip(*found, strict=True))
             a_ends, b_ends = np.cumsum(tokens.a_sizes[a]), np.cumsum(tokens.b_sizes[b])
             ends = np.intersect1d(a_ends, b_ends, assume_unique=True)
             of_a, of_b = np.searchsorted(ends, a_ends), np.searchsorted(ends, b_ends)

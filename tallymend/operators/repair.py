@@ -143,8 +143,9 @@ def set_against(
     its rows of the partition, so their numbers are those of the report.
     """
     plan = durable(plan)
-    places = _places(plan, dest.schema[key].dataType)
-    touched = dest.join(_listed(places), _at_place(dest, key, places), "left_semi")
+    # Measured once, for both joins.
+    places = _listed(_places(plan, dest.schema[key].dataType))
+    touched = dest.join(places, _at_place(dest, key, places), "left_semi")
     compared = [c for c in columns or dest.columns if c not in (key, *PARTITION)]
     return Planned(dest, key, plan, places, durable(number_rows(touched, key, compared)))
 
@@ -192,9 +193,7 @@ def apply_repairs(
     written only if it still holds what the report saw.
     """
     planned = planned or set_against(plan, dest, key, columns)
-    rest = dest.join(
-        _listed(planned.places), _at_place(dest, key, planned.places), "left_anti"
-    )
+    rest = dest.join(planned.places, _at_place(dest, key, planned.places), "left_anti")
     return repaired_rows(planned).unionByName(rest)
 
 

@@ -53,6 +53,8 @@ class Side:
     env: Mapping[str, str] = field(default_factory=dict)
     options: Mapping[str, str] = field(default_factory=dict)
     splits: int = 1
+    # Ascending key values (numbers or days) that cut reads into ranges instead of hashes.
+    split_bounds: tuple = ()
 
     @property
     def qualified(self) -> str:
@@ -121,6 +123,7 @@ def _side(raw: Mapping, columns: Mapping[str, str], resolve: bool) -> Side:
         env=read_env(env) if resolve else env,
         options={str(k): str(v) for k, v in (raw.get("options") or {}).items()},
         splits=int(raw.get("splits", 1)),
+        split_bounds=tuple(raw.get("split_bounds") or ()),
     )
 
 

@@ -211,6 +211,7 @@ def align(
     unique_key: bool = False,
     discard_equal_first: bool = False,
     hot_rows: int | None = 1_000_000,
+    keyed: Sides | None = None,
 ) -> DataFrame:
     """Full-outer alignment of the two sides.
 
@@ -220,19 +221,21 @@ def align(
     counterpart before any row content is shuffled.
     ``hot_rows`` sets from how many rows on a key its numbering is split over
     the cluster; None skips looking for such keys.
+    ``keyed`` holds the rows to look at among those with a key; by default all.
     """
-    keyed = _drop_equal_keys(both) if discard_equal_first else both
+    keyed = both if keyed is None else keyed
+    keyed = _drop_equal_keys(keyed) if discard_equal_first else keyed
     keyed = keyed.where("primary_key IS NOT NULL")
     if unique_key:
         parts = [_pair_unique(keyed)]
     else:
-        parts = [_pair(part) for part in _numbered(keyed, hot_rows)]
+        parts = [_pair(part) for part in numbered(keyed, hot_rows)]
     layout = parts[0].schema
     parts += [_without_key(both, name, layout) for name in ("src", "dest")]
     return reduce(DataFrame.unionByName, parts)
 
 
-def _numbered(keyed: Sides, hot_rows: int | None) -> list[DataFrame]:
+def numbered(keyed: Sides, hot_rows: int | None) -> list[DataFrame]:
     """Numbered rows: of the keys one task can number, and of those split over many."""
     hot = hot_keys(keyed, hot_rows) if hot_rows else []
     if not hot:
@@ -253,7 +256,7 @@ def number_rows(
     are left out. ``columns`` are the compared ones, in the order of the report.
     """
     keyed = sides(table.limit(0), table, key, columns).where("primary_key IS NOT NULL")
-    parts = [p.select(*KEYS, "dest", "occurrence") for p in _numbered(keyed, hot_rows)]
+    parts = [p.select(*KEYS, "dest", "occurrence") for p in numbered(keyed, hot_rows)]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from tallymend.config import Compare, Job
 from tallymend.functions.cells import TOLERANCE
+from tallymend.functions.ranges import KeyRanges, key_ranges
 from tallymend.operators import align as al
+from tallymend.operators import checksums as cs
 from tallymend.operators import repair as rp
 from tallymend.operators import report as rep
 from tallymend.plans.durable import durable
@@ -19,6 +21,7 @@ from tallymend.sources import sinks
 from tallymend.sources.files import FileTable
 from tallymend.sources.jdbc import jdbc_options
 from tallymend.sources.reportlog import ReportLog
+from tallymend.sources.snapshots import align_stored
 from tallymend.sources.tables import DATABASES, load, read_side
 
 
@@ -44,6 +47,41 @@ def reconcile_tables(
     return rep.report(aligned, compared, options)
 
 
+def reconcile_by_ranges(
+    src: DataFrame,
+    dest: DataFrame,
+    key: str,
+    columns: list[str],
+    options: Compare = Compare(),
+    *,
+    ranges: int | KeyRanges = 256,
+    leaves: tuple[DataFrame, DataFrame] | None = None,
+) -> DataFrame:
+    """The report of ``reconcile_tables``, reading rows again only in key ranges that differ.
+
+    ``leaves`` are digests of the two sides over ``ranges`` that are known already, of
+    the same columns (``DigestStore``); without them both sides are digested first. A tolerance finer than the
+    digests' five decimals must see all rows.
+    """
+    compared = options.columns(columns)
+    both = al.sides(src, dest, key, compared, options.date_forms)
+    keyed = both
+    if options.tolerance >= TOLERANCE:
+        cuts = ranges if isinstance(ranges, KeyRanges) else key_ranges(both.src, "primary_key", ranges)
+        if leaves is None:
+            leaves = tuple(durable(cs.side_leaves(both, name, cuts)) for name in ("src", "dest"))
+        keyed = cs.only_dirty(both, durable(cs.dirty_ranges(*leaves)), cuts)
+    aligned = al.align(both, unique_key=options.unique_key, hot_rows=options.hot_rows, keyed=keyed)
+    return rep.report(aligned, compared, options)
+
+
+def reconcile_stored(
+    spark: SparkSession, src_table: str, dest_table: str, columns: list[str], options: Compare = Compare()
+) -> DataFrame:
+    """The report of two sides stored by ``snapshots.store_side``, without a shuffle of rows."""
+    return rep.report(align_stored(spark, src_table, dest_table), options.columns(columns), options)
+
+
 def reconcile(spark: SparkSession, job: Job) -> DataFrame:
     """The discrepancy report of a job."""
     return reconcile_tables(

@@ -6,11 +6,14 @@ connection.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import types as T
 
 from tallymend.config import Side
+from tallymend.functions.ranges import KeyRanges
 from tallymend.plans.scope import Scope
 
 FETCH_ROWS = 1000
@@ -94,9 +97,35 @@ def _split_term(side: Side, key: str, part: int) -> str:
     return f"({share} OR {key} IS NULL)" if part == 0 else f"({share} AND {key} IS NOT NULL)"
 
 
+def _bound(side: Side, value: object) -> str:
+    """A key value as a literal of the side's dialect: numbers bare, days quoted."""
+    if isinstance(value, bool) or not isinstance(value, (int, float, Decimal, datetime.date)):
+        raise ValueError(f"a bound must be a number or a day: {value!r}")
+    if not isinstance(value, datetime.date):
+        return str(value)
+    if isinstance(value, datetime.datetime):
+        text = value.isoformat(sep="T" if side.type == "sqlserver" else " ")
+        return f"'{text}'" if side.type == "sqlserver" else f"TIMESTAMP '{text}'"
+    return f"'{value:%Y%m%d}'" if side.type == "sqlserver" else f"DATE '{value.isoformat()}'"
+
+
+def _split_terms(side: Side, key: str) -> list[str]:
+    """One condition per share: key ranges, which an index can serve, or hashes of the key."""
+    if side.split_bounds:
+        bounds = tuple(dict.fromkeys(side.split_bounds))
+        if list(bounds) != sorted(bounds):
+            raise ValueError("split_bounds must ascend")
+        return KeyRanges(tuple(_bound(side, b) for b in bounds)).terms(key)
+    return [_split_term(side, key, part) for part in range(side.splits)]
+
+
+def is_split(side: Side) -> bool:
+    return side.splits > 1 or bool(side.split_bounds)
+
+
 def split_predicates(side: Side, key: str) -> list[str]:
     """One WHERE text per share of the whole table."""
-    return [_split_term(side, key, part) for part in range(side.splits)]
+    return _split_terms(side, key)
 
 
 def scan_predicates(
@@ -111,8 +140,9 @@ def scan_predicates(
     """One WHERE text per read task; together they cover the scope once.
 
     Each calendar partition is its own task, and ``side.splits`` cuts every
-    partition further by a hash of the key, so one big month need not be read
-    by one task. Names are physical.
+    partition further by a hash of the key, or ``side.split_bounds`` by key ranges
+    (``functions.ranges.key_quantiles`` finds near-equal ones), so one big month need not be
+    read by one task. Names are physical.
     """
     fields = {f.name.lower(): f.dataType for f in schema.fields}
 
@@ -127,6 +157,6 @@ def scan_predicates(
             terms.append(base)
         else:
             terms += [f"{base} AND {equals(week_column, w)}" for w in weeks[year, month]]
-    if side.splits <= 1:
+    if not is_split(side):
         return terms
-    return [f"{t} AND {_split_term(side, key, p)}" for t in terms for p in range(side.splits)]
+    return [f"{t} AND {share}" for t in terms for share in _split_terms(side, key)]

@@ -13,7 +13,7 @@ from tallymend.config import Job, Side
 from tallymend.functions.cells import orderable
 from tallymend.plans.durable import durable
 from tallymend.plans.scope import PARTITION, Scope, tag_partition, typed
-from tallymend.sources.jdbc import jdbc_options, scan_predicates, split_predicates
+from tallymend.sources.jdbc import is_split, jdbc_options, scan_predicates, split_predicates
 
 DATABASES = ("oracle", "sqlserver", "jdbc")
 FILES = ("parquet", "orc", "csv", "json")
@@ -107,7 +107,7 @@ def load(
         options = jdbc_options(side)
         plain = spark.read.format("jdbc").options(**options, dbtable=side.qualified).load()
         if scope is None or not scope.entries:
-            if side.splits <= 1:
+            if not is_split(side):
                 return plain
             predicates = split_predicates(side, key)
         else:

@@ -13,15 +13,26 @@ from tallymend.config import Compare, job_from
 from tallymend.functions.cells import as_day, as_number, canonical, cell_equal, read_cell, sanitize
 from tallymend.functions.hashing import row_hash as digest
 from tallymend.functions.labels import partition_label as label_text
+from tallymend.functions.ranges import KeyRanges, key_ranges
 from tallymend.operators import align as al
+from tallymend.operators import checksums as cs
 from tallymend.operators import diff as df
+from tallymend.operators import proof
 from tallymend.operators import repair as rp
 from tallymend.operators import report as rep
 from tallymend.plans.durable import checkpoint_folder, durable
-from tallymend.plans.job import reconcile, reconcile_tables, repair_files
+from tallymend.plans.job import (
+    reconcile,
+    reconcile_by_ranges,
+    reconcile_stored,
+    reconcile_tables,
+    repair_files,
+)
 from tallymend.plans.scope import PARTITION, Scope, expand_scope, tag_partition
 from tallymend.sources import sinks
+from tallymend.sources import snapshots
 from tallymend.sources import tables as tb
+from tallymend.sources.digests import DigestStore
 from tallymend.sources.files import FileTable
 from tallymend.sources.reportlog import ReportLog
 from workloads import pairs
@@ -380,6 +391,37 @@ def align_split_keys(spark, sf_dir):
     )
 
 
+def _stored_sides(spark, both: al.Sides, hot_rows: int | None = 1_000_000) -> tuple[str, str]:
+    """Both sides as bucketed tables below the shared folder."""
+    names = []
+    for side in ("src", "dest"):
+        name = f"{side}_{uuid.uuid4().hex}"
+        snapshots.store_side(both, side, name, 16, f"{_new_folder(spark)}-{side}", hot_rows)
+        names.append(name)
+    return tuple(names)
+
+
+@query
+def align_stored(spark, sf_dir):
+    """Repeated keys from two snapshots bucketed by key and number: a join without exchange."""
+    aligned = snapshots.align_stored(spark, *_stored_sides(spark, _line_sides(spark, sf_dir)))
+    return aligned.selectExpr(
+        "primary_key AS id",
+        "year",
+        "month",
+        "occurrence",
+        *(f"{t}.{c} AS {t[0]}_{c}" for c in ("line", "quantity", "price") for t in ("src", "dest")),
+    )
+
+
+@query
+def align_stored_null_keys(spark, sf_dir):
+    tables = _stored_sides(spark, _nullable_key_sides(spark, sf_dir))
+    return snapshots.align_stored(spark, *tables).selectExpr(
+        "primary_key AS id", "year", "src IS NOT NULL AS in_source", "dest IS NOT NULL AS in_dest"
+    )
+
+
 @query
 def duplicate_keys(spark, sf_dir):
     found = al.duplicate_keys(_line_sides(spark, sf_dir)).drop("week")
@@ -549,6 +591,105 @@ def discrepancy_report_split_keys(spark, sf_dir):
     return _comparable(_line_report(spark, sf_dir, "line", hot_rows=MANY_ROWS), "occurrence")
 
 
+@query
+def discrepancy_report_stored(spark, sf_dir):
+    tables = _stored_sides(spark, _order_sides(spark, sf_dir))
+    compare = Compare(include_nulls=True, use_row_hash=True)
+    found = reconcile_stored(spark, *tables, pairs.ORDER_VALUES, compare)
+    return _comparable(found, "week", "source_hash", "dest_hash")
+
+
+@query
+def discrepancy_report_by_ranges(spark, sf_dir):
+    """Digests per partition and key range first, then only rows of ranges that differ."""
+    found = reconcile_by_ranges(
+        *pairs.tagged_orders(spark, sf_dir),
+        "id",
+        pairs.ORDER_VALUES,
+        Compare(include_nulls=True, use_row_hash=True),
+        ranges=64,
+    )
+    return _comparable(found, "week", "source_hash", "dest_hash")
+
+
+@query
+def discrepancy_report_lines_by_ranges(spark, sf_dir):
+    found = reconcile_by_ranges(
+        *pairs.tagged_lines(spark, sf_dir), "id", pairs.LINE_VALUES, Compare(include_nulls=True), ranges=64
+    )
+    return _comparable(found, "occurrence")
+
+
+@query
+def partition_digests(spark, sf_dir):
+    """Rows per partition and side, and whether the two sides' digests agree."""
+    both = _order_sides(spark, sf_dir)
+    ranges = key_ranges(both.src, "primary_key", 16)
+    return cs.partition_counts(*(durable(cs.side_leaves(both, s, ranges)) for s in ("src", "dest")))
+
+
+@query
+def key_range_counts(spark, sf_dir):
+    """Rows per fixed range of the key and side; what the ranges cover."""
+    ranges = KeyRanges(("1000L", "5000L", "12000L", "1000000000L"))
+    source, dest = pairs.orders_source(spark, sf_dir), pairs.orders_dest(spark, sf_dir)
+    return source.selectExpr("'source' AS side", f"{ranges.number('id')} AS range").unionByName(
+        dest.selectExpr("'destination' AS side", f"{ranges.number('id')} AS range")
+    ).groupBy("side", "range").agg(F.count("*").alias("n"))
+
+
+@query
+def reconcile_changed_files(spark, sf_dir):
+    """A second run after a repair: only the rewritten files are digested again."""
+    folder = _new_folder(spark)
+    pairs.orders_source(spark, sf_dir).repartitionByRange(16, "id").write.parquet(f"{folder}/source")
+    pairs.orders_dest(spark, sf_dir).repartitionByRange(16, "id").write.parquet(f"{folder}/dest")
+    source, dest = (FileTable(spark, f"{folder}/{s}", f"{folder}/{s}-versions") for s in ("source", "dest"))
+    store = DigestStore(spark, f"{folder}/digests")
+    compare = Compare(include_nulls=True)
+    ranges = key_ranges(source.current(), "id", 64)
+
+    def tag(rows: DataFrame) -> DataFrame:
+        return tag_partition(rows, "year", "month", "week")
+
+    def lay_out(rows: DataFrame) -> al.Sides:
+        return al.sides(tag(rows), tag(rows), "id", pairs.ORDER_VALUES)
+
+    def once() -> DataFrame:
+        leaves = tuple(
+            store.refresh(t, lay_out, n, ranges)[0] for t, n in ((source, "src"), (dest, "dest"))
+        )
+        tables = (tag(t.current()) for t in (source, dest))
+        return reconcile_by_ranges(
+            *tables, "id", pairs.ORDER_VALUES, compare, ranges=ranges, leaves=leaves
+        )
+
+    repair_files(durable(once()), dest, "id", tag, columns=pairs.ORDER_VALUES)
+    return once().select("primary_key", "type", "column", "year", "month", "week")
+
+
+@query
+def report_balance(spark, sf_dir):
+    """Source, report and destination add up in every partition."""
+    return proof.balance(_order_sides(spark, sf_dir), durable(_order_report(spark, sf_dir)))
+
+
+@query
+def report_balance_lines(spark, sf_dir):
+    """The same for repeated keys."""
+    found = durable(_line_report(spark, sf_dir))
+    return proof.balance(_line_sides(spark, sf_dir), found).drop("week")
+
+
+@query
+def report_balance_damaged(spark, sf_dir):
+    """A report that lost some records: just their partitions do not add up."""
+    found = durable(_order_report(spark, sf_dir)).where(
+        "NOT (coalesce(`column`, '') IN ('', 'status') AND cast(primary_key AS bigint) % 5 = 0)"
+    )
+    return proof.balance(_order_sides(spark, sf_dir), found)
+
+
 @query
 def discrepancy_summary(spark, sf_dir):
     return rep.summary(_order_report(spark, sf_dir))

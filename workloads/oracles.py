@@ -470,6 +470,46 @@ def oracle_sql() -> dict[str, str]:
     sql["reconcile_then_repair_lines"] = (
         f'SELECT primary_key, type, "column", year, month FROM ({lines}) WHERE type <> \'mismatch\''
     )
+    sql["align_stored"] = sql["align_duplicate_keys"]
+    sql["align_stored_null_keys"] = sql["align_null_keys"]
+    sql["discrepancy_report_stored"] = sql["discrepancy_report"]
+    sql["discrepancy_report_by_ranges"] = sql["discrepancy_report"]
+    sql["discrepancy_report_lines_by_ranges"] = lines
+    sql["reconcile_changed_files"] = sql["reconcile_then_repair"]
+    sql["partition_digests"] = _end(
+        ORDERS,
+        "SELECT year, month, week, sum(s)::bigint AS src_rows, sum(d)::bigint AS dest_rows,"
+        " sum(s * h)::hugeint = sum(d * h)::hugeint AS agrees FROM (SELECT year, month, week, 1 AS s, 0 AS d,"
+        " hash(id, h)::hugeint AS h FROM src UNION ALL SELECT year, month, week, 0, 1, hash(id, h)::hugeint"
+        " FROM dst) GROUP BY ALL",
+    )
+    sql["key_range_counts"] = _end(
+        ORDERS,
+        "SELECT side, range, count(*) AS n FROM (SELECT side, CASE WHEN id < 1000 THEN 0 WHEN id < 5000 THEN 1"
+        " WHEN id < 12000 THEN 2 WHEN id < 1000000000 THEN 3 ELSE 4 END::int AS range FROM"
+        " (SELECT 'source' AS side, id FROM src UNION ALL SELECT 'destination', id FROM dst)) GROUP BY ALL",
+    )
+
+    def balance(prelude: str, place: str, lost: str = "false") -> str:
+        """Rows and kept records per partition, which balances where none was lost."""
+        return _end(
+            prelude,
+            f"SELECT {place}, sum(s)::bigint AS src_rows, sum(d)::bigint AS dest_rows,"
+            " sum(m)::bigint AS missing_rows, sum(e)::bigint AS extra_rows, sum(c)::bigint AS cells,"
+            " sum(l) = 0 AS balanced FROM ("
+            f"SELECT {place}, 1 AS s, 0 AS d, 0 AS m, 0 AS e, 0 AS c, 0 AS l FROM src"
+            f" UNION ALL SELECT {place}, 0, 1, 0, 0, 0, 0 FROM dst UNION ALL SELECT {place}, 0, 0,"
+            f" (type = 'missing_in_dest' AND NOT {lost})::int, (type = 'extra_in_dest' AND NOT {lost})::int,"
+            f" (type = 'mismatch' AND NOT {lost})::int, ({lost})::int FROM report) GROUP BY ALL",
+        )
+
+    sql["report_balance"] = balance(REPORT, "year, month, week")
+    sql["report_balance_damaged"] = balance(
+        REPORT,
+        "year, month, week",
+        "(coalesce(\"column\", '') IN ('', 'status') AND cast(primary_key AS bigint) % 5 = 0)",
+    )
+    sql["report_balance_lines"] = balance(_lines() + f"report AS ({_lines_report()}),", "year, month")
     # A finer tolerance than the digest: also the amounts that differ by a millionth.
     sql["discrepancy_report_fine_tolerance"] = _end(
         REPORT.replace("0.00001", "0.0000001"), f"SELECT {_REPORT_COLUMNS} FROM report"

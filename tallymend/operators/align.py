@@ -52,7 +52,8 @@ SRC, DEST = 0, 1
 
 # The sketch follows this many candidates and reports at most HOT_KEYS of them,
 # so what reaches the driver is bounded whatever the table size. A key outside
-# the sketch holds well under a thousandth of the rows.
+# the sketch holds well under a thousandth of the rows. Where the list is full,
+# all hot keys are counted instead and joined as a table.
 HOT_KEYS = 10_000
 SKETCH_ITEMS = 100_000
 SKETCH_LANES = 1_000
@@ -240,8 +241,28 @@ def numbered(keyed: Sides, hot_rows: int | None) -> list[DataFrame]:
     hot = hot_keys(keyed, hot_rows) if hot_rows else []
     if not hot:
         return [_number(keyed)]
-    is_hot = f"{key_digest()} IN ({', '.join(f'{h}L' for h in hot)})"
-    return [_number(keyed.where(f"NOT {is_hot}")), _number_split(keyed.where(is_hot))]
+    if len(hot) < HOT_KEYS:
+        is_hot = f"{key_digest()} IN ({', '.join(f'{h}L' for h in hot)})"
+        return [_number(keyed.where(f"NOT {is_hot}")), _number_split(keyed.where(is_hot))]
+    listed = all_hot_keys(keyed, hot_rows)
+    return [_number(_by_hot(keyed, listed, "left_anti")), _number_split(_by_hot(keyed, listed, "left_semi"))]
+
+
+def all_hot_keys(both: Sides, hot_rows: int) -> DataFrame:
+    """Digests of all keys with at least ``hot_rows`` rows, counted and written out.
+
+    Digests are counted before the shuffle. There are at most as many as rows divided by ``hot_rows``.
+    """
+    digests = (df.where("primary_key IS NOT NULL").selectExpr(f"{key_digest()} AS hot") for df in (both.src, both.dest))
+    counted = reduce(DataFrame.unionByName, digests).groupBy("hot").agg(F.count("*").alias("n"))
+    return durable(counted.where(F.col("n") >= hot_rows).select("hot"))
+
+
+def _by_hot(both: Sides, listed: DataFrame, how: str) -> Sides:
+    """The rows whose key is listed, or is not; the list is broadcast if its size allows."""
+    hot = F.broadcast(listed) if listed.count() * ROW_BYTES <= BROADCAST_BYTES else listed
+    on = F.expr(f"{key_digest()} = hot")
+    return both.on(both.src.join(hot, on, how), both.dest.join(hot, on, how))
 
 
 def number_rows(

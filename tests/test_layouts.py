@@ -12,7 +12,8 @@ from tallymend import Compare, Side, reconcile_tables, tag_partition
 from tallymend.functions.ranges import KeyRanges, key_quantiles, key_ranges
 from tallymend.operators import align as al
 from tallymend.operators import checksums as cs
-from tallymend.operators import proof
+from tallymend.operators import proof, sampling
+from tallymend.operators.report import report
 from tallymend.plans.job import reconcile_by_ranges
 from tallymend.sources import snapshots
 from tallymend.sources.digests import DigestStore
@@ -173,8 +174,6 @@ def test_other_ways_give_the_plain_report(spark, tmp_path, a, b, way):
         found = reconcile_by_ranges(tag(a), tag(b), "id", COLUMNS, ALL, ranges=4)
     else:
         aligned = stored(spark, sides(a, b), tmp_path)
-        from tallymend.operators.report import report
-
         found = report(aligned, COLUMNS, ALL)
     assert bag(found) == bag(plain)
     assert all(r["balanced"] for r in proof.balance(sides(a, b), found).collect())
@@ -264,3 +263,66 @@ def test_a_wrong_value_unbalances(spark):
     wrong = found.withColumn("dest_value", F.lit("guessed"))
     balanced = {r["month"]: r["balanced"] for r in proof.balance(sides(a, b), wrong).collect()}
     assert balanced == {"05": True, "06": False}
+
+
+# --- samples of keys
+
+
+def test_a_sample_has_the_same_keys_on_both_sides(spark):
+    a, b = many(spark, 3000, changed=range(0, 3000, 7)), many(spark, 2900)
+    drawn = sampling.sample_keys(sides(a, b), 200, seed=3)
+    keys = [{r[0] for r in d.select("primary_key").collect()} for d in (drawn.both.src, drawn.both.dest)]
+    assert len(keys[0] | keys[1]) == 200
+    whole = reconcile_tables(tag(a), tag(b), "id", COLUMNS, ALL)
+    of_drawn = whole.where(F.col("primary_key").isin([str(k) for k in keys[0] | keys[1]]))
+    assert bag(report(al.align(drawn.both), COLUMNS, ALL)) == bag(of_drawn)
+
+
+def test_intervals_hold_the_true_counts(spark):
+    """Nine of ten draws at least: 1.96 deviations promise nineteen of twenty."""
+    a, b = many(spark, 4000, changed=range(0, 4000, 3)), many(spark, 3600)
+    true = {
+        (r["type"], r["column"]): r["count"]
+        for r in reconcile_tables(tag(a), tag(b), "id", COLUMNS, ALL).groupBy("type", "column").count().collect()
+    }
+    held = []
+    for seed in range(10):
+        drawn = sampling.sample_keys(sides(a, b), 600, seed)
+        found = report(al.align(drawn.both, hot_rows=None), COLUMNS, ALL)
+        for r in sampling.estimated_counts(found, drawn.chance).collect():
+            held.append(r["low"] <= true[r["type"], r["column"]] <= r["high"])
+    assert len(held) == 20 and sum(held) >= 18
+
+
+@pytest.mark.parametrize(("a", "b"), [(ROWS, ROWS[1:]), ([], []), (ROWS, [])])
+def test_a_sample_above_all_keys_is_everything_with_a_key(spark, a, b):
+    a, b = (spark.createDataFrame(rows, SCHEMA) for rows in (a, b))
+    drawn = sampling.sample_keys(sides(a, b), 50)
+    assert (drawn.limit, drawn.chance) == (None, 1.0)
+    found = report(al.align(drawn.both), COLUMNS, ALL)
+    keyed = reconcile_tables(tag(a), tag(b), "id", COLUMNS, ALL).where("primary_key IS NOT NULL")
+    assert bag(found) == bag(keyed)
+    for r in sampling.estimated_counts(found, 1.0).collect():
+        assert r["sampled"] == r["records"] == r["low"] == r["high"]
+
+
+# --- many hot keys
+
+
+def test_more_hot_keys_than_are_listed_are_all_split(spark):
+    """20,000 keys above the bound, twice what a list may hold."""
+    rows = spark.range(60_000).selectExpr(
+        "id % 20000 AS id", "'2024' AS year", "'05' AS month", "concat('v', id) AS val", "double(id) AS num"
+    )
+    few = spark.range(20_000, 20_100).selectExpr(
+        "id", "'2024' AS year", "'05' AS month", "'few' AS val", "double(id) AS num"
+    )
+    both = sides(rows.union(few), rows.where("num % 11 <> 0").union(few))
+    assert len(al.hot_keys(both, 5)) == al.HOT_KEYS
+    assert al.all_hot_keys(both, 5).count() == 20_000
+    cold, split = al.numbered(both, 5)
+    assert cold.select("primary_key").distinct().count() == 100
+    assert split.select("primary_key").distinct().count() == 20_000
+    plain = al.align(both, hot_rows=None).drop("src_cells", "dest_cells")
+    found = al.align(both, hot_rows=5).drop("src_cells", "dest_cells")
+    assert found.exceptAll(plain).count() == plain.exceptAll(found).count() == 0

@@ -20,6 +20,7 @@ from tallymend.operators import diff as df
 from tallymend.operators import proof
 from tallymend.operators import repair as rp
 from tallymend.operators import report as rep
+from tallymend.operators import sampling
 from tallymend.plans.durable import checkpoint_folder, durable
 from tallymend.plans.job import (
     reconcile,
@@ -668,6 +669,27 @@ def reconcile_changed_files(spark, sf_dir):
     return once().select("primary_key", "type", "column", "year", "month", "week")
 
 
+def _sampled_orders(spark, sf_dir) -> tuple[DataFrame, float]:
+    """The report of 500 sampled keys and their chance."""
+    drawn = sampling.sample_keys(_order_sides(spark, sf_dir), 500, seed=7)
+    aligned = al.align(drawn.both)
+    return rep.report(aligned, pairs.ORDER_VALUES, Compare(include_nulls=True)), drawn.chance
+
+
+@query
+def key_sample_report(spark, sf_dir):
+    """The discrepancies of the same 500 keys on both sides."""
+    return _comparable(_sampled_orders(spark, sf_dir)[0], "week")
+
+
+@query
+def key_sample_estimates(spark, sf_dir):
+    """Records per type and column, estimated from 500 keys."""
+    counts = sampling.estimated_counts(*_sampled_orders(spark, sf_dir))
+    # Whole numbers read alike in any engine.
+    return counts.selectExpr("type", "column", "sampled", "cast(round(records) AS bigint) AS records")
+
+
 @query
 def report_balance(spark, sf_dir):
     """Source, report and destination add up in every partition."""

@@ -490,6 +490,24 @@ def oracle_sql() -> dict[str, str]:
         " (SELECT 'source' AS side, id FROM src UNION ALL SELECT 'destination', id FROM dst)) GROUP BY ALL",
     )
 
+    sampled = (
+        "hashes AS (SELECT DISTINCT id, md5(concat('7:', id)) AS hash FROM (SELECT id FROM src UNION ALL"
+        " SELECT id FROM dst)), bound AS (SELECT hash FROM hashes ORDER BY hash LIMIT 1 OFFSET 500),"
+        " drawn AS (SELECT r.* FROM report r JOIN hashes h ON r.primary_key = cast(h.id AS varchar)"
+        " WHERE h.hash < coalesce((SELECT hash FROM bound), 'g')),"
+        " chance AS (SELECT coalesce((SELECT cast('0x' || substr(hash, 1, 13) AS bigint) FROM bound)"
+        " / pow(2::double, 52), 1) AS p),"
+    )
+    sql["key_sample_report"] = _end(
+        REPORT + sampled,
+        'SELECT primary_key, type, "column", source_value, dest_value, year, month, week FROM drawn',
+    )
+    sql["key_sample_estimates"] = _end(
+        REPORT + sampled,
+        'SELECT type, "column", count(*) AS sampled, cast(round(count(*) / any_value(p)) AS bigint) AS records'
+        ' FROM drawn, chance GROUP BY type, "column"',
+    )
+
     def balance(prelude: str, place: str, lost: str = "false") -> str:
         """Rows and kept records per partition, which balances where none was lost."""
         return _end(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 
+import duckdb
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
@@ -168,6 +169,54 @@ def test_usual_notices_are_recognised(spark, text, licence):
     assert licenses.digest(licenses.recognise(table)).first()["licenses"] == licence
 
 
+# What each notice means to a reader, not taken from the patterns.
+LESSER = GPL.replace("program is free", "library is free").replace("GNU General", "GNU Lesser General")
+
+
+@pytest.mark.parametrize(
+    "text, licence",
+    [
+        ("SPDX-License: Apache-2.0", "Apache-2.0"),
+        ("// SPDX-License-Identifier: Apache-2.0 OR MIT\nint x;", "Apache-2.0,MIT"),
+        ("/* SPDX-License-Identifier: MIT OR Apache-2.0 */", "MIT,Apache-2.0"),
+        ("# SPDX-License-Identifier: (LGPL-2.1-only AND BSD-3-Clause) OR MIT", "LGPL-2.1,BSD-3-Clause,MIT"),
+        ("spdx-license-identifier:GPL-2.0", "GPL-2.0"),
+        ("SPDX-License-Identifier: GPL-2.0+", "GPL-2.0-or-later"),
+        ("SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0", "GPL-2.0"),
+        ("SPDX-License-Identifier: MIT.\nLicensed under the Apache License, Version 2.0.", "MIT,Apache-2.0"),
+        ("SPDX-License-Identifier: Foo-1.0 mit Klausel, or isc", ""),
+        ("SPDX-License-Identifier: " + "MIT OR " * 20_000 + "ISC", ",".join(["MIT"] * 20_000 + ["ISC"])),
+        ("SPDX-License-Identifier: " + "a-" * 200_000, ""),
+        (LESSER.format(";", ";", "2.1"), "LGPL-2.1-or-later"),
+        (LESSER.format(":", ",", "3"), "LGPL-3.0-or-later"),
+        (GPL.replace("General", "Affero General").format(":", ",", "3"), "AGPL-3.0-or-later"),
+        (
+            "This program is free software; you can redistribute it and/or modify\nit under the terms of"
+            " the GNU General Public License version 2 as\npublished by the Free Software Foundation.",
+            "GPL-2.0",
+        ),
+        (
+            "you can redistribute it and/or modify it under the terms of version 2.1 of the\nGNU Lesser"
+            " General Public License as published by the Free Software Foundation.",
+            "LGPL-2.1",
+        ),
+        (
+            "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0\nInternational License.",
+            "CC-BY-SA-4.0",
+        ),
+        ("Wir arbeiten mit Licht.\nmit\nApache-2.0", ""),
+    ],
+)
+def test_tags_and_notices_read_as_a_reader_would(spark, text, licence):
+    """Spark and its SQL alike."""
+    table = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    found = licenses.digest(licenses.recognise(table))
+    assert found.first()["licenses"] == licence
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents AS SELECT 1::bigint AS doc_id, ? AS text", [text])
+    assert con.execute(licenses.digest_sql()).fetchall() == [tuple(found.first())]
+
+
 BSD = (
     "Copyright (c) 2020, Foo\nAll rights reserved.\n\n"
     "Redistribution and use in source and binary forms, with or without\n"

@@ -93,7 +93,7 @@ def op10_secret_scan(spark, sf_dir):
 @query
 def op11_word_table(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return word_table.digest(word_table.decode(word_table.encode(docs)))
+    return word_table.digest(word_table.encode(docs, data="decoded"))
 
 
 @query

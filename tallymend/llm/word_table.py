@@ -14,6 +14,8 @@ them by itself, so equal words have equal ids.
 
 Decoding joins ids with the vocabulary, a table (id, piece) whose size the
 tokenizer's file fixes: every task has it whole and takes the pieces of its ids.
+``encode`` can decode as well, where the ids are put in: then they need not go
+through a second Python worker.
 
 How it scales: a word is one entry per chunk however often it occurs. A chunk
 ends after ``CHUNK`` characters or with the text that passes them, and a slice
@@ -34,6 +36,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -52,16 +55,22 @@ from tallymend.llm.token_files import byte_letters
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 # Characters of a chunk of texts, slices that its words are dealt into, rows that a worker holds.
-CHUNK = 32 << 20
+CHUNK = 16 << 20
 SLICES = 256
 ROWS = 256
 
 
+@lru_cache(maxsize=2)
+def tokenizer(path: str) -> Tokenizer:
+    """Read once by a worker, whatever its tasks do with it."""
+    return Tokenizer.from_file(path)
+
+
 class Splitter:
     """Cuts a text into special tokens and the words that the tokenizer encodes by themselves."""
 
     def __init__(self, path: str):
-        library = Tokenizer.from_file(path)
+        library = tokenizer(path)
         special = sorted(
             (t.content for t in library.get_added_tokens_decoder().values()), key=len, reverse=True
         )
@@ -91,7 +100,7 @@ class WordEncoder:
     """Ids of one word, or of a special token, as little-endian 32-bit integers."""
 
     def __init__(self, path: str):
-        library = Tokenizer.from_file(path)
+        library = tokenizer(path)
         self._special = {t.content: i for i, t in library.get_added_tokens_decoder().items()}
         self._model = library.model
         self._letters = [letter for _, letter in sorted(byte_letters().items())]
@@ -241,13 +250,19 @@ def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, at: np.ndar
     return flat[np.arange(total) + np.repeat(starts[at] - ends + own, own)]
 
 
-def _put_in(texts: DataFrame, tables: DataFrame) -> DataFrame:
-    """(row, ids): by position, the ids of a chunk's words for each of its texts."""
+def _put_in(texts: DataFrame, tables: DataFrame, path: str | None) -> DataFrame:
+    """(row, ids): by position, the ids of a chunk's words for each of its texts.
+
+    With ``path`` also ``text``, what the ids spell in that vocabulary.
+    """
     schema = T.StructType([texts.schema["row"], T.StructField("ids", T.BinaryType())])
+    names = ["row", "ids"]
+    if path is not None:
+        schema, names = schema.add("text", T.StringType()), [*names, "text"]
 
     def put(texts: pa.Table, tables: pa.Table) -> pa.Table:
         meta = [w for w in texts.column("words") if w.is_valid]
-        chosen = pc.is_valid(texts.column("numbers"))
+        texts = texts.select(["numbers", "row"]).filter(pc.is_valid(texts.column("numbers")))
         flat, starts, sizes = np.empty(0, "<u4"), np.empty(0, "i8"), np.empty(0, "i8")
         if meta:
             unpacked = [_unpack(t.as_py()) for t in tables.sort_by("slice").column("ids")]
@@ -260,12 +275,21 @@ def _put_in(texts: DataFrame, tables: DataFrame) -> DataFrame:
             sizes[order] = own
             starts = np.empty(len(order), "i8")
             starts[order] = np.cumsum(own) - own
-        texts = texts.filter(chosen)
-        found = []
-        for numbers in texts.column("numbers"):
-            at = np.frombuffer(zstandard.decompress(numbers.as_py()), "<u4")
-            found.append(_gather(flat, starts, sizes, at).tobytes())
-        return pa.table({"row": texts.column("row"), "ids": pa.array(found, pa.binary())})
+        done = []
+        # The result leaves in small batches, so that neither side holds a chunk as one.
+        for batch in sliced(texts.to_batches(), ROWS):
+            found = [
+                _gather(flat, starts, sizes, np.frombuffer(zstandard.decompress(n.as_py()), "<u4")).tobytes()
+                for n in batch.column("numbers")
+            ]
+            columns = [batch.column("row"), pa.array(found, pa.binary())]
+            if path is not None:
+                columns.append(_spelled(found, path))
+            done.append(pa.RecordBatch.from_arrays(columns, names))
+        if not done:
+            kinds = [texts.schema.field("row").type, pa.binary(), pa.string()]
+            return pa.table([pa.array([], k) for k in kinds[: len(names)]], names)
+        return pa.Table.from_batches(done)
 
     by_chunk = texts.groupBy("chunk").cogroup(tables.groupBy("chunk"))
     return by_chunk.applyInArrow(put, schema)
@@ -278,21 +302,27 @@ def encode(
     ids: str = "ids",
     chunk: int = CHUNK,
     slices: int = SLICES,
+    data: str | None = None,
 ) -> DataFrame:
-    """``docs`` with the text replaced by ``ids``, little-endian 32-bit integers."""
-    kept = [c for c in docs.columns if c not in (text, ids)]
+    """``docs`` with the text replaced by ``ids``, little-endian 32-bit integers.
+
+    ``data`` also gives the text that the ids spell, as ``decode`` would, by the same worker.
+    """
+    made = {ids: "ids"} if data is None else {ids: "ids", data: "text"}
+    kept = [c for c in docs.columns if c != text and c not in made]
     # In a struct, so that no column of the caller meets one of this module.
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row"), text_or_empty(text).alias("text"))
     numbered = bucketed(_number(rows, path, chunk, slices), "chunk")
     words = numbered.where("slice IS NOT NULL").select("chunk", "slice", "words")
     texts = numbered.where("slice IS NULL").select("chunk", "words", "numbers", "row")
-    found = _put_in(texts, _encode_words(words, path))
-    return found.select(*(F.col("row")[c].alias(c) for c in kept), F.col("ids").alias(ids))
+    found = _put_in(texts, _encode_words(words, path), None if data is None else path)
+    own = [F.col(c).alias(name) for name, c in made.items()]
+    return found.select(*(F.col("row")[c].alias(c) for c in kept), *own)
 
 
 def vocabulary(path: str = VOCABULARY) -> pa.Table:
     """(id, piece): the bytes of every id, special tokens included."""
-    library = Tokenizer.from_file(path)
+    library = tokenizer(path)
     byte_of = {letter: b for b, letter in byte_letters().items()}
     special = {i: t.content.encode() for i, t in library.get_added_tokens_decoder().items()}
     pieces = {
@@ -310,22 +340,33 @@ def decode(
     at = tokens.drop(data).columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        listed = vocabulary(path)
-        # Place of every id in the table; the last place is an empty piece for other ids.
-        places = np.full(int(listed.column("id")[-1].as_py()) + 2, listed.num_rows, "i8")
-        places[np.asarray(listed.column("id"))] = np.arange(listed.num_rows)
-        pieces = pa.concat_arrays([*listed.column("piece").chunks, pa.array([b""])])
         for batch in sliced(batches, ROWS):
-            texts = []
-            for own in batch.column(at):
-                flat = np.frombuffer(own.as_py() or b"", "<u4")
-                found = pieces.take(pa.array(places[np.minimum(flat, len(places) - 1)]))
-                texts.append(_joined(found).decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], schema.names)
+            texts = _spelled([own.as_py() or b"" for own in batch.column(at)], path)
+            yield pa.RecordBatch.from_arrays([*batch.columns, texts], schema.names)
 
     return tokens.drop(data).mapInArrow(run, schema)
 
 
+@lru_cache(maxsize=2)
+def _places(path: str) -> tuple[np.ndarray, pa.BinaryArray]:
+    """Place of every id among the pieces; the last piece is an empty one, for other ids."""
+    listed = vocabulary(path)
+    places = np.full(int(listed.column("id")[-1].as_py()) + 2, listed.num_rows, "i8")
+    places[np.asarray(listed.column("id"))] = np.arange(listed.num_rows)
+    return places, pa.concat_arrays([*listed.column("piece").chunks, pa.array([b""])])
+
+
+def _spelled(ids: list[bytes], path: str) -> pa.StringArray:
+    """The texts that lists of ids spell."""
+    places, pieces = _places(path)
+    texts = []
+    for own in ids:
+        flat = np.frombuffer(own, "<u4")
+        found = pieces.take(pa.array(places[np.minimum(flat, len(places) - 1)]))
+        texts.append(_joined(found).decode("utf-8", "replace"))
+    return pa.array(texts, pa.string())
+
+
 def _joined(pieces: pa.BinaryArray) -> bytes:
     """All bytes of an array that was just taken, one piece after the other."""
     if not len(pieces):

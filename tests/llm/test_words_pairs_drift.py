@@ -79,6 +79,15 @@ def test_words_of_odd_texts(docs, rows):
     same(word_table.digest(found).collect(), word_digest(rows))
 
 
+def test_decoding_where_ids_are_put_in(docs):
+    """The same as decoding in a step of its own, in any number of chunks."""
+    both = word_table.encode(docs, chunk=5_000, slices=7, data="decoded")
+    alone = word_table.decode(word_table.encode(docs))
+    assert both.columns == alone.columns
+    assert both.exceptAll(alone).isEmpty() and alone.exceptAll(both).isEmpty()
+    assert word_table.encode(docs.limit(0), data="decoded").isEmpty()
+
+
 def test_decoding_passes_over_unknown_ids_and_broken_bytes(spark):
     ids = [[15496, 50_300], [220, 2**32 - 1], [160], []]
     made = [(i, bytearray(np.array(x, "<u4").tobytes())) for i, x in enumerate(ids)] + [(9, None)]

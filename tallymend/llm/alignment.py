@@ -6,8 +6,9 @@ is linked with every token of B. A pair of ids counts the documents that hold
 it linked.
 
 Encoding. Neither tokenizer joins a visible character with a blank after it, so
-a text is cut at single blanks and its parts are encoded by themselves; a part
-that comes again is remembered. Such a cut ends a group.
+a long text is cut at single blanks and its blocks are encoded by themselves.
+Such a cut ends a group. Where A's ids ascend as its merges do and its pattern needs
+no character properties, a library that merges by rank encodes A; else the tokenizer does.
 
 Inverted bitmaps. A chunk numbers its documents; each pair has one bitmap of
 them per binary digit of the number of times it is linked (multiplicity planes). A
@@ -33,24 +34,26 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import json
 import re
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from tokenizers import Tokenizer
 
-from tallymend.llm.byte_bpe import BLOCK, CUT, LATIN, LATIN_PIECES, sliced
+from tallymend.llm.byte_bpe import BLOCK, CUT, LATIN, sliced
 from tallymend.llm.common import Memory, bucketed, text_or_empty
 from tallymend.llm.token_files import byte_letters
-from tallymend.llm.word_table import vocabulary
+from tallymend.llm.word_table import joined, tokenizer, vocabulary
 
 A_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 B_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
@@ -58,23 +61,39 @@ B_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 CHUNK = 16 << 20
 PLACES = 1 << 16
 ROWS = 256
-# Bytes of parts and of words that a task remembers, longest part among them; parts encoded at once.
-PARTS, WORDS, LONGEST = 128 << 20, 64 << 20, 200
+# Bytes of words that a task remembers; pairs written at once.
+WORDS = 16 << 20
 TOGETHER = 1 << 14
 
 # How B's vocabulary writes a blank and a single byte.
 BLANK = "▁"
 BYTE_PIECE = re.compile("<0x([0-9A-F]{2})>").fullmatch
+# What a library with backtracking may not match.
+LONG_RUN = re.compile(r"\s{10000}").search
 
 
 # --- tokens
 
 
+def merges_by_rank(path: str) -> bool:
+    """Whether A takes texts as they are, by the public pattern, and its ids ascend as its merges do."""
+    with open(path, encoding="utf-8") as lines:
+        read = json.load(lines)
+    split, model = read["pre_tokenizer"] or {}, read["model"]
+    if read["normalizer"] or split.get("type") != "ByteLevel" or not split.get("use_regex", True):
+        return False
+    if split["add_prefix_space"] or model["type"] != "BPE":
+        return False
+    merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    made = [model["vocab"][left + right] for left, right in merges]
+    return made[:1] >= [256] and all(a < b for a, b in zip(made, made[1:], strict=False))
+
+
 class Tokens:
-    """Ids of A and B for parts of a text, a part being what stands between two cuts."""
+    """Ids of A and B for a block of a text, what stands between two cuts."""
 
     def __init__(self, a_path: str, b_path: str):
-        library = Tokenizer.from_file(a_path)
+        library = tokenizer(a_path)
         self._a_model = library.model
         self._a_split = library.pre_tokenizer.pre_tokenize_str
         self._letters = [letter for _, letter in sorted(byte_letters().items())]
@@ -93,8 +112,19 @@ class Tokens:
             np.array([len(of.get(i, b"")) for i in range(max(of) + 1)], "i8")
             for of in (self.a_bytes, self.b_bytes)
         )
+        self._b_pieces = pa.array([self.b_bytes[i] for i in range(len(self.b_bytes))], pa.binary())
         self._words = Memory(self._encode_word, WORDS)
-        self._parts = Memory(None, PARTS)
+        self._by_rank = None
+        if merges_by_rank(a_path):
+            special = library.get_added_tokens_decoder()
+            ranks = {piece: i for i, piece in self.a_bytes.items() if i not in special}
+            pattern = public_tokenizers.PATTERN
+            by_rank = tiktoken.Encoding("a", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+            self._by_rank = by_rank.encode_ordinary
+
+    def forget(self) -> None:
+        """Empty the memory: Spark keeps its Python workers, and this object, from task to task."""
+        self._words.clear()
 
     def _encode_word(self, word: str) -> bytes | None:
         """Ids of A; None if they do not spell the word."""
@@ -103,49 +133,37 @@ class Tokens:
         ids = [t.id for t in self._a_model.tokenize(spelled)]
         if data != b"".join(map(self.a_bytes.__getitem__, ids)):
             return None
-        return _packed(ids)
-
-    def _ids(self, part: str, b: list[int]) -> tuple[bytes, bytes] | None:
-        """Ids of a part with the blank before it; None if those of A or B do not spell it."""
-        part = " " + part
-        if b"".join(map(self.b_bytes.__getitem__, b)) != part.encode():
+        return array("I", ids).tobytes()
+
+    def _encode_a(self, text: str) -> np.ndarray | None:
+        if self._by_rank and LATIN(text) and not LONG_RUN(text):
+            return np.array(self._by_rank(text), "i8")
+        found = [self._words[text[a:b]] for _, (a, b) in self._a_split(text)]
+        return None if None in found else np.frombuffer(b"".join(found), "<u4").astype("i8")
+
+    def encode(self, block: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """(ids of A, ids of B) of a block with the blank before it; None if they do not spell it."""
+        text = " " + block
+        b = np.array(self._b.encode(block), "i8")
+        if joined(self._b_pieces.take(pa.array(b))) != text.encode():
             return None
-        if LATIN(part):
-            words = LATIN_PIECES(part)
-        else:
-            words = [part[a:b] for _, (a, b) in self._a_split(part)]
-        found = list(map(self._words.__getitem__, words))
-        return None if None in found else (b"".join(found), _packed(b))
-
-    def encode(self, parts: list[str]) -> list[tuple[bytes, bytes] | None]:
-        """(ids of A, ids of B) of every part with the blank before it; None if they do not spell it."""
-        found = list(map(self._parts.get, parts))
-        if None not in found:
-            return found
-        new = list({p for p, ids in zip(parts, found, strict=True) if ids is None})
-        made = {}
-        for at in range(0, len(new), TOGETHER):
-            some = new[at : at + TOGETHER]
-            for part, b in zip(some, self._b.encode(some, num_threads=1), strict=True):
-                made[part] = ids = self._ids(part, b)
-                # What does not spell its part is rare, and not remembered.
-                if ids is not None and len(part) <= LONGEST:
-                    self._parts.keep(part, ids)
-        return [made[p] if ids is None else ids for p, ids in zip(parts, found, strict=True)]
-
-
-def _packed(ids: list[int]) -> bytes:
-    return array("I", ids).tobytes()
-
-
-def _blocks(text: str) -> Iterator[list[str]]:
-    """The parts of a text, block by block."""
+        a = self._encode_a(text)
+        return None if a is None else (a, b)
+
+
+@lru_cache(maxsize=2)
+def loaded(a_path: str, b_path: str) -> Tokens:
+    """Read once by a worker, whatever its tasks do with it."""
+    return Tokens(a_path, b_path)
+
+
+def _blocks(text: str) -> Iterator[str]:
     at = 0
     while at < len(text):
         cut = CUT.search(text, at + BLOCK) if len(text) - at > BLOCK else None
         end = cut.start() if cut else len(text)
-        yield CUT.split(text[at:end])
-        # The blank of the cut belongs to the next part, which takes it back.
+        yield text[at:end]
+        # The blank of the cut belongs to the next block, which takes it back.
         at = end + 1 if cut else end
 
 
@@ -191,12 +209,12 @@ class Aligned:
         self.n_a = self.n_b = self.n_groups = 0
         self.groups, self.pairs, self.times = b"", np.empty(0, "i8"), np.empty(0, "i8")
         written, codes, times = [], [], []
-        for parts in _blocks(text):
-            found = tokens.encode(parts)
-            if None in found:
+        for block in _blocks(text):
+            found = tokens.encode(block)
+            if found is None:
                 self.n_a = self.n_b = self.n_groups = 0
                 return
-            a, b = (np.frombuffer(b"".join(ids), "<u4").astype("i8") for ids in zip(*found, strict=True))
+            a, b = found
             a_ends, b_ends = np.cumsum(tokens.a_sizes[a]), np.cumsum(tokens.b_sizes[b])
             ends = np.intersect1d(a_ends, b_ends, assume_unique=True)
             of_a, of_b = np.searchsorted(ends, a_ends), np.searchsorted(ends, b_ends)
@@ -285,7 +303,7 @@ def align(
     schema = schema.add("planes", T.ArrayType(T.BinaryType())).add("n_docs", T.LongType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(a_path, b_path)
+        tokens = loaded(a_path, b_path)
         writer, name, held, used = Writer(tokens), TaskContext.get().partitionId() << 32, 0, 0
         postings = []
 
@@ -355,6 +373,7 @@ def align(
                     postings, held, used, name = [], 0, 0, name + 1
         if postings:
             yield from pairs(rows.type)
+        tokens.forget()
 
     return rows.mapInArrow(run, schema)
 

@@ -363,11 +363,11 @@ def _spelled(ids: list[bytes], path: str) -> pa.StringArray:
     for own in ids:
         flat = np.frombuffer(own, "<u4")
         found = pieces.take(pa.array(places[np.minimum(flat, len(places) - 1)]))
-        texts.append(_joined(found).decode("utf-8", "replace"))
+        texts.append(joined(found).decode("utf-8", "replace"))
     return pa.array(texts, pa.string())
 
 
-def _joined(pieces: pa.BinaryArray) -> bytes:
+def joined(pieces: pa.BinaryArray) -> bytes:
     """All bytes of an array that was just taken, one piece after the other."""
     if not len(pieces):
         return b""

@@ -193,6 +193,27 @@ def test_long_texts_are_aligned_in_blocks(spark, monkeypatch):
     assert one.groups.decode() == expected[0][-1]
 
 
+def test_merging_by_rank_gives_the_tokenizers_ids():
+    """Every token by itself, and Latin texts with runs; a tokenizer that changes texts is refused."""
+    tokens = alignment.loaded(alignment.A_VOCABULARY, alignment.B_VOCABULARY)
+    library = Tokenizer.from_file(alignment.A_VOCABULARY)
+    letters = [" ", "  ", "\n", "\t", "é", "ß", "×", "÷", "ÿ", "a", "the ", "'s", "'S", "'", "23", ".", " " * 50]
+    pieces = [p.decode("utf-8", "ignore") for p in tokens.a_bytes.values() if b"<|" not in p]
+    texts = [t for t in pieces + odd_texts(3_000, letters) if alignment.LATIN(t)]
+    assert len(texts) > 30_000
+    assert [tokens._by_rank(t) for t in texts] == [
+        e.ids for e in library.encode_batch(texts, add_special_tokens=False)
+    ]
+    assert not alignment.merges_by_rank(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def test_runs_of_blanks_go_through_the_tokenizer():
+    tokens = alignment.loaded(alignment.A_VOCABULARY, alignment.B_VOCABULARY)
+    a, _ = tokens.encode(" " * 20_000 + "x")
+    library = Tokenizer.from_file(alignment.A_VOCABULARY)
+    assert a.tolist() == library.encode(" " * 20_001 + "x", add_special_tokens=False).ids
+
+
 def test_bitmaps():
     draw = np.random.default_rng(3)
     for share in (0.0001, 0.01, 0.2, 0.9):

@@ -306,6 +306,32 @@ def test_a_sample_above_all_keys_is_everything_with_a_key(spark, a, b):
         assert r["sampled"] == r["records"] == r["low"] == r["high"]
 
 
+# --- the balance's work
+
+
+def test_the_balance_reads_a_report_once_and_adds_no_decimals(spark, tmp_path):
+    a, b = many(spark, 20, changed=(3,)), many(spark, 20)
+    reconcile_tables(tag(a), tag(b), "id", COLUMNS, ALL).write.parquet(str(tmp_path / "found"))
+    balanced = proof.balance(sides(a, b), spark.read.parquet(str(tmp_path / "found")))
+    plan = balanced._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and "decimal(38,0)" not in plan
+    assert all(r["balanced"] for r in balanced.collect())
+
+
+# --- how much a task gets
+
+
+@pytest.mark.parametrize("unique_key", [False, True])
+def test_a_task_does_not_get_more_as_the_tables_grow(spark, monkeypatch, unique_key):
+    """Whatever Spark would merge: 2,000 keys a side go to 18 tasks, 4,000 to 36."""
+    monkeypatch.setattr(al, "TASK_BYTES", 256 << 10)
+    for n, tasks in ((2000, 18), (4000, 36)):
+        aligned = al.align(sides(many(spark, n), many(spark, n)), unique_key=unique_key)
+        keyed = aligned.where("primary_key IS NOT NULL").groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in keyed) == n
+        assert len(keyed) >= tasks and max(r["count"] for r in keyed) < 2 * n / tasks
+
+
 # --- many hot keys
 
 

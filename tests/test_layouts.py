@@ -352,3 +352,25 @@ def test_more_hot_keys_than_are_listed_are_all_split(spark):
     plain = al.align(both, hot_rows=None).drop("src_cells", "dest_cells")
     found = al.align(both, hot_rows=5).drop("src_cells", "dest_cells")
     assert found.exceptAll(plain).count() == plain.exceptAll(found).count() == 0
+
+
+def test_copies_are_counted_without_sorting_and_keep_their_zeros(spark):
+    """Copies beyond one block, zeros of both signs, NULLs, and a shuffle less than before."""
+    rows = spark.range(25_000).selectExpr(
+        "7L AS id",
+        "'2024' AS year",
+        "'05' AS month",
+        "if(id % 9 = 0, NULL, 'same') AS val",
+        "CASE id % 3 WHEN 0 THEN 0.0D WHEN 1 THEN double('-0.0') END AS num",
+    )
+    both = sides(rows, rows.where("val IS NOT NULL"))
+    folded = al._folded(both)
+    assert "SortAggregate" not in folded._jdf.queryExecution().executedPlan().toString()
+    signs = folded.where("side = 0").selectExpr("cast(src.num AS string) AS num", "copies")
+    counted = {r["num"]: r["n"] for r in signs.groupBy("num").agg(F.sum("copies").alias("n")).collect()}
+    assert counted == {"0.0": 8334, "-0.0": 8333, None: 8333}
+    text = "year, month, occurrence, cast(src.num AS string) AS s, cast(dest.num AS string) AS d, src.val, dest.val AS v"
+    plain = al.align(both, hot_rows=None).selectExpr(*text.split(", "))
+    found = al.align(both, hot_rows=5).selectExpr(*text.split(", "))
+    assert found.count() == 25_000
+    assert found.exceptAll(plain).count() == plain.exceptAll(found).count() == 0

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallymend import Compare, reconcile_tables, tag_partition
 from tallymend.operators import repair as rp
+from tallymend.plans.durable import durable as catalog_durable
 from tallymend.plans.job import repair_files
 from tallymend.sources import sinks
 from tallymend.sources.commits import CommitLog, Conflict
@@ -231,3 +232,13 @@ def test_unplanned_rows_meet_no_exchange(spark, two_tables):
     assert "BroadcastHashJoin" in text[: text.index("LeftAnti")].splitlines()[-1]
     assert "FileScan parquet" in other.split("BroadcastExchange")[0]
     assert "Exchange hashpartitioning" not in other.split("BroadcastExchange")[0]
+
+
+def test_the_log_query_makes_a_report_once(spark, monkeypatch):
+    """Two upserts read the first report; it is aligned for one of them."""
+    from workloads import catalog
+
+    kept = []
+    monkeypatch.setattr(catalog, "durable", lambda df: kept.append(catalog_durable(df)) or kept[-1])
+    rows = catalog.report_log(spark, "/root/testdata/sf0.001")
+    assert len(kept) == 1 and kept[0].count() > 0 and rows.count() > 0

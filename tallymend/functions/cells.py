@@ -113,10 +113,18 @@ def trimmed(col: str) -> str:
     return f"btrim({col}, r'{WHITE_SPACE}')"
 
 
-def _text_number(text: str) -> str:
+def _spells_number(text: str) -> str:
+    return f"{text} RLIKE r'{NUMBER_FORM}'"
+
+
+def _number_spelt(text: str) -> str:
+    """The number of a text that spells one; never NULL."""
     # A signed "nan" is the only such text that Spark's cast does not read.
-    number = f"coalesce(try_cast({text} AS double), double('NaN'))"
-    return f"CASE WHEN {text} RLIKE r'{NUMBER_FORM}' THEN {number} END"
+    return f"coalesce(try_cast({text} AS double), double('NaN'))"
+
+
+def _text_number(text: str) -> str:
+    return f"CASE WHEN {_spells_number(text)} THEN {_number_spelt(text)} END"
 
 
 def _text_day(text: str, forms: Sequence[tuple[str, str]]) -> str:
@@ -184,13 +192,18 @@ def exact_text(raw: str) -> str:
 
 @dataclass(frozen=True)
 class Cell:
-    """One value, read: ``number`` is set, or ``text`` for anything else."""
+    """One value, read: ``number`` is set, or ``text`` for anything else.
+
+    ``parsed``, of a text column read where it stands, are the test for a number, that
+    number and the text otherwise, so that both together cost one test.
+    """
 
     raw: str
     dtype: T.DataType
     kind: str
     number: str
     text: str
+    parsed: tuple[str, str, str] | None = None
 
     def canonical(self) -> str:
         """One text per value: five decimals, an ISO day, or trimmed text.
@@ -200,6 +213,9 @@ class Cell:
         """
         if self.kind == NUMBER:
             return exact_text(self.raw) if exact(self.dtype) else number_text(self.number)
+        if self.parsed:
+            spells, number, text = self.parsed
+            return f"CASE WHEN {spells} THEN {number_text(number)} ELSE {text} END"
         if self.kind == TEXT:
             return f"coalesce({number_text(self.number)}, {self.text})"
         return self.text
@@ -219,11 +235,18 @@ def read_cell(
     text = trimmed(col)
     number = _text_number(text)
     plain = f"coalesce(cast({_text_day(text, forms)} AS string), {text})"
-    return Cell(col, dtype, kind, number, f"CASE WHEN ({number}) IS NULL THEN {plain} END")
+    parsed = (_spells_number(text), _number_spelt(text), plain)
+    return Cell(col, dtype, kind, number, f"CASE WHEN ({number}) IS NULL THEN {plain} END", parsed)
 
 
 def reading(cell: Cell) -> str:
     """STRUCT<number, text>: a cell read once, to be carried along."""
+    if cell.parsed:
+        spells, number, text = cell.parsed
+        return (
+            f"CASE WHEN {spells} THEN named_struct('number', {number}, 'text', {NO_TEXT})"
+            f" ELSE named_struct('number', {NO_NUMBER}, 'text', {text}) END"
+        )
     return f"named_struct('number', {cell.number}, 'text', {cell.text})"
 
 

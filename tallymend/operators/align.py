@@ -251,6 +251,7 @@ def align(
     discard_equal_first: bool = False,
     hot_rows: int | None = 1_000_000,
     keyed: Sides | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Full-outer alignment of the two sides.
 
@@ -261,22 +262,27 @@ def align(
     ``hot_rows`` sets from how many rows on a key its numbering is split over
     the cluster; None skips looking for such keys.
     ``keyed`` holds the rows to look at among those with a key; by default all.
+    ``rows`` is how many these are, where that is known; it only sets the number of tasks.
     """
     keyed = both if keyed is None else keyed
     keyed = _drop_equal_keys(keyed) if discard_equal_first else keyed
     keyed = keyed.where("primary_key IS NOT NULL")
     if unique_key:
-        parts = [_pair_unique(keyed)]
+        parts = [_pair_unique(keyed, rows)]
     else:
-        parts = [_pair(part) for part in numbered(keyed, hot_rows)]
+        parts = [_pair(part) for part in numbered(keyed, hot_rows, rows)]
     layout = parts[0].schema
     parts += [_without_key(both, name, layout) for name in ("src", "dest")]
     return reduce(DataFrame.unionByName, parts)
 
 
-def numbered(keyed: Sides, hot_rows: int | None) -> list[DataFrame]:
+def numbered(keyed: Sides, hot_rows: int | None, rows: int | None = None) -> list[DataFrame]:
     """Numbered rows: of the keys one task can number, and of those split over many."""
-    hot, rows = _surveyed(keyed, hot_rows) if hot_rows else ([], _rows(keyed))
+    hot = []
+    if hot_rows:
+        hot, rows = _surveyed(keyed, hot_rows)
+    elif rows is None:
+        rows = _rows(keyed)
     tasks = _tasks(keyed, rows)
     if not hot:
         return [_number(keyed, tasks)]
@@ -509,13 +515,13 @@ def _pair(numbered: DataFrame) -> DataFrame:
     )
 
 
-def _pair_unique(both: Sides) -> DataFrame:
+def _pair_unique(both: Sides, rows: int | None = None) -> DataFrame:
     """Pairing for keys stated to be unique: one shuffle, one sort, no numbering."""
     over = f"OVER (PARTITION BY {BY_KEY} ORDER BY side)"
     repeats = "raise_error(concat('key repeats on one side: ', cast(primary_key AS string)))"
     return _paired(
         _stack(both)
-        .repartition(_tasks(both, _rows(both)), *KEYS)
+        .repartition(_tasks(both, _rows(both) if rows is None else rows), *KEYS)
         .selectExpr("*", f"{_cells(both)} AS cells", "1L AS occurrence")
         .selectExpr(
             "*",

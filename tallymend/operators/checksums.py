@@ -104,6 +104,17 @@ def only_dirty(both: Sides, dirty: DataFrame, ranges: KeyRanges) -> Sides:
     return both.on(cut(both.src), cut(both.dest))
 
 
+def dirty_rows(src: DataFrame, dest: DataFrame, dirty: DataFrame) -> tuple[int, int]:
+    """Rows in the dirty leaves of the two sides together, and in the largest of these.
+
+    All rows that a key has in a partition are in one leaf, so no key has more than the largest.
+    """
+    counts = src.select(*LEAF, "rows").unionByName(dest.select(*LEAF, "rows"))
+    leaves = _meet(counts.groupBy(*LEAF).agg(F.sum("rows").alias("rows")), dirty, LEAF, "left_semi")
+    found = leaves.agg(F.sum("rows").alias("all"), F.max("rows").alias("most")).first()
+    return int(found["all"] or 0), int(found["most"] or 0)
+
+
 def partition_counts(src: DataFrame, dest: DataFrame) -> DataFrame:
     """Rows with a key per partition and side, and whether the sides agree, from leaves alone."""
 

@@ -65,13 +65,17 @@ def reconcile_by_ranges(
     """
     compared = options.columns(columns)
     both = al.sides(src, dest, key, compared, options.date_forms)
-    keyed = both
+    keyed, rows, hot_rows = both, None, options.hot_rows
     if options.tolerance >= TOLERANCE:
         cuts = ranges if isinstance(ranges, KeyRanges) else key_ranges(both.src, "primary_key", ranges)
         if leaves is None:
             leaves = tuple(durable(cs.side_leaves(both, name, cuts)) for name in ("src", "dest"))
-        keyed = cs.only_dirty(both, durable(cs.dirty_ranges(*leaves)), cuts)
-    aligned = al.align(both, unique_key=options.unique_key, hot_rows=options.hot_rows, keyed=keyed)
+        dirty = durable(cs.dirty_ranges(*leaves))
+        keyed = cs.only_dirty(both, dirty, cuts)
+        rows, most = cs.dirty_rows(*leaves, dirty)
+        # Where no range has that many rows, no key has, and none need be looked for.
+        hot_rows = hot_rows if hot_rows and most >= hot_rows else None
+    aligned = al.align(both, unique_key=options.unique_key, hot_rows=hot_rows, keyed=keyed, rows=rows)
     return rep.report(aligned, compared, options)
 
 

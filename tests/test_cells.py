@@ -151,3 +151,10 @@ def test_exact_numbers_are_not_compared_as_doubles(spark, a, a_type, b, b_type,
     texts = row.selectExpr(*(c.canonical(n, t) for n, t in zip(("a", "b"), types, strict=True))).first()
     # Equal digests never hide a difference.
     assert equal or texts[0] != texts[1]
+
+
+def test_a_text_is_tested_for_a_number_once():
+    """Digest and alignment test every text cell; each test is a regular expression."""
+    cell = c.read_cell("v0", S)
+    assert cell.canonical().count(c.NUMBER_FORM) == 1
+    assert c.reading(cell).count(c.NUMBER_FORM) == 1

@@ -179,6 +179,33 @@ def test_other_ways_give_the_plain_report(spark, tmp_path, a, b, way):
     assert all(r["balanced"] for r in proof.balance(sides(a, b), found).collect())
 
 
+def test_no_hot_key_is_looked_for_where_no_range_can_hold_one(spark, monkeypatch):
+    a, b = many(spark, 400), many(spark, 400, changed=range(0, 400, 9))
+    options = Compare(include_nulls=True, hot_rows=None)
+    plain = bag(reconcile_tables(tag(a), tag(b), "id", COLUMNS, options))
+
+    def looked(*_):
+        raise AssertionError("rows are read for hot keys, or only to be counted")
+
+    monkeypatch.setattr(al, "_surveyed", looked)
+    monkeypatch.setattr(al, "_rows", looked)
+    found = [
+        reconcile_by_ranges(tag(a), tag(b), "id", COLUMNS, Compare(include_nulls=True, **more), ranges=4)
+        for more in ({}, {"hot_rows": None}, {"unique_key": True})
+    ]
+    assert [bag(f) for f in found] == [plain] * 3
+
+
+def test_a_hot_key_in_a_range_that_differs_is_still_split(spark, monkeypatch):
+    a, b = (many(spark, 400, c).withColumn("id", F.expr("if(id < 90, 7, id)")) for c in ((), (3, 200)))
+    options = Compare(include_nulls=True, hot_rows=50)
+    split, number_split = [], al._number_split
+    monkeypatch.setattr(al, "_number_split", lambda *x: split.append(1) or number_split(*x))
+    found = reconcile_by_ranges(tag(a), tag(b), "id", COLUMNS, options, ranges=4)
+    plain = reconcile_tables(tag(a), tag(b), "id", COLUMNS, Compare(include_nulls=True, hot_rows=None))
+    assert bag(found) == bag(plain) and split
+
+
 def test_a_fine_tolerance_sees_all_rows(spark):
     a = spark.createDataFrame([(1, "2024", "05", "a", 1.0)], SCHEMA)
     b = spark.createDataFrame([(1, "2024", "05", "a", 1.000001)], SCHEMA)

@@ -18,6 +18,13 @@ from tallymend.operators.report import MISMATCH
 from tallymend.plans.durable import durable
 from tallymend.plans.scope import PARTITION, Scope
 
+# A list of planned keys too big to broadcast is sent as a table of so many bits per key, of
+# so many bytes at most. Rows whose bit is not set are at no planned key.
+FILTER_BITS = 16
+FILTER_BYTES = 64 << 20
+# Keys of these types are equal exactly if their hashes' inputs are.
+HASHED_TYPES = (T.IntegralType, T.DecimalType, T.StringType, T.DateType, T.TimestampType)
+
 PLAN_KEYS = ("primary_key", "year", "month", "week", "occurrence")
 
 
@@ -119,7 +126,8 @@ class Planned:
 
     ``places``: the keys and partitions it names, each once. ``rows``: all
     destination rows of those, numbered as for the report. Plan and rows are
-    written once, so that repair, purge and summary read the same.
+    written once, so that repair, purge and summary read the same. ``near`` and
+    ``far`` make up the destination; no row of ``far`` is at a planned key.
     """
 
     dest: DataFrame
@@ -127,6 +135,8 @@ class Planned:
     plan: DataFrame
     places: DataFrame
     rows: DataFrame
+    near: DataFrame
+    far: DataFrame | None
 
     @cached_property
     def met(self) -> DataFrame:
@@ -144,10 +154,10 @@ def set_against(
     """
     plan = durable(plan)
     # Measured once, for both joins.
-    places = _listed(_places(plan, dest.schema[key].dataType))
-    touched = dest.join(places, _at_place(dest, key, places), "left_semi")
+    places, near, far = _listed(_places(plan, dest.schema[key].dataType), dest, key)
+    touched = near.join(places, _at_place(near, key, places), "left_semi")
     compared = [c for c in columns or dest.columns if c not in (key, *PARTITION)]
-    return Planned(dest, key, plan, places, durable(number_rows(touched, key, compared)))
+    return Planned(dest, key, plan, places, durable(number_rows(touched, key, compared)), near, far)
 
 
 def files_of(plan: DataFrame, dest: DataFrame, key: str, file: str) -> list[str]:
@@ -157,7 +167,8 @@ def files_of(plan: DataFrame, dest: DataFrame, key: str, file: str) -> list[str]
     """
     places = _places(plan, dest.schema[key].dataType)
     held = dest.select(key, *PARTITION, file)
-    held = held.join(_listed(places), _at_place(held, key, places), "left_semi")
+    places, near, _ = _listed(places, held, key)
+    held = near.join(places, _at_place(near, key, places), "left_semi")
     return sorted(r[0] for r in held.select(file).distinct().collect())
 
 
@@ -167,9 +178,44 @@ def _places(plan: DataFrame, key_type: T.DataType) -> DataFrame:
     return plan.select(named, "year", "month", "week").distinct()
 
 
-def _listed(places: DataFrame) -> DataFrame:
-    """Broadcast if it is small, so that the rows of the table it meets are not shuffled."""
-    return F.broadcast(places) if list_bytes(places) <= BROADCAST_BYTES else places
+def _listed(
+    places: DataFrame, dest: DataFrame, key: str
+) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """The places for joins with ``dest``, the rows that may meet them, and the others.
+
+    A small list is broadcast and meets all rows, none of them shuffled. Of a large one
+    a table of bits is broadcast, so that hardly more rows are shuffled than are planned.
+    """
+    size = list_bytes(places)
+    if size <= BROADCAST_BYTES:
+        return F.broadcast(places), dest, None
+    if not isinstance(dest.schema[key].dataType, HASHED_TYPES):
+        return places, dest, None
+    places = durable(places)
+    slots = min(FILTER_BITS * max(1, places.count()), 8 * FILTER_BYTES)
+
+    def slot(rows: DataFrame, *columns: str) -> Column:
+        first, *partition = (rows[c] for c in columns)
+        return F.pmod(F.xxhash64(first, *(p.cast("string") for p in partition)), F.lit(slots)) + 1
+
+    bits = (
+        places.select(slot(places, *PLACE).alias("slot"))
+        .select(
+            F.bitmap_bucket_number("slot").alias("bucket"), F.bitmap_bit_position("slot").alias("bit")
+        )
+        # Dealt first, so that no task makes bits of all buckets.
+        .repartition("bucket")
+        .groupBy("bucket")
+        .agg(F.bitmap_construct_agg("bit").alias("bits"))
+    )
+    own = slot(dest, key, *PARTITION)
+    met = dest.join(F.broadcast(bits), F.bitmap_bucket_number(own) == bits["bucket"], "left")
+    bit = F.bitmap_bit_position(own)
+    byte = F.substring(bits["bits"], F.floor(bit / 8).cast("int") + 1, F.lit(1))
+    set_ = F.getbit(F.conv(F.hex(byte), 16, 10).cast("long"), (bit % 8).cast("int")) == 1
+    near = F.coalesce(set_, F.lit(False))
+    columns = [dest[f"`{c}`"] for c in dest.columns]
+    return places, met.where(near).select(*columns), met.where(~near).select(*columns)
 
 
 def _at_place(dest: DataFrame, key: str, places: DataFrame) -> Column:
@@ -189,11 +235,13 @@ def apply_repairs(
 
     Rows of planned keys get their updates in one join; a repeated key's
     updates meet the rows they were found in. All other rows pass as they are,
-    unshuffled while the list of planned keys can be broadcast. A cell is
-    written only if it still holds what the report saw.
+    unshuffled but for a few where the list of planned keys is too big to broadcast. A
+    cell is written only if it still holds what the report saw.
     """
     planned = planned or set_against(plan, dest, key, columns)
-    rest = dest.join(planned.places, _at_place(dest, key, planned.places), "left_anti")
+    near = planned.near
+    rest = near.join(planned.places, _at_place(near, key, planned.places), "left_anti")
+    rest = rest if planned.far is None else rest.unionByName(planned.far)
     return repaired_rows(planned).unionByName(rest)
 
 

@@ -234,6 +234,35 @@ def test_unplanned_rows_meet_no_exchange(spark, two_tables):
     assert "Exchange hashpartitioning" not in other.split("BroadcastExchange")[0]
 
 
+@pytest.mark.parametrize("key", ["string", "double"])
+def test_a_list_too_big_to_broadcast_shuffles_few_other_rows(spark, two_tables, monkeypatch, key):
+    source, folder, _ = two_tables
+    rows = spark.read.parquet(folder)
+    rows = rows.unionByName(rows.limit(1).withColumn("id", F.lit(None).cast("long")))
+    # Names that the filter has as well.
+    source, dest = (
+        tag(df.withColumn("id", F.col("id").cast(key)).withColumn("bits", F.lit("x")).withColumn("bucket", F.lit(1)))
+        for df in (source, rows)
+    )
+    found = reconcile_tables(source, dest, "id", ["val", "num"], Compare(include_nulls=True))
+    plan = rp.plan_repairs(found, dest)
+
+    def results(planned):
+        made = rp.apply_repairs(dest, planned.plan, "id", ["val", "num"], planned)
+        summary = rp.repair_summary(planned.plan, dest, "id", ["val", "num"], planned)
+        return [sorted(map(repr, df.collect())) for df in (made, summary)]
+
+    few = rp.set_against(plan, dest, "id", ["val", "num"])
+    monkeypatch.setattr(rp, "BROADCAST_BYTES", 0)
+    many = rp.set_against(plan, dest, "id", ["val", "num"])
+    assert results(few) == results(many) and len(results(many)[0]) == dest.count()
+    assert rp.files_of(plan, dest.withColumn("file", F.col("val")), "id", "file")
+    if key != "double":
+        assert many.near.count() + many.far.count() == dest.count() > 4 * many.near.count()
+        text = many.far._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in text.split("BroadcastExchange")[0]
+
+
 def test_the_log_query_makes_a_report_once(spark, monkeypatch):
     """Two upserts read the first report; it is aligned for one of them."""
     from workloads import catalog

@@ -236,7 +236,9 @@ def _tasks(both: Sides, rows: int) -> int:
     """How many tasks number and pair ``rows`` rows, so that a task's share does not grow with them."""
     fields = len(KEYS) + len(both.src_row) + len(both.dest_row) + 2 * len(both.columns)
     size = rows * fields * FIELD_BYTES
-    at_least = min(_partitions(both), -(-rows // TASK_ROWS))
+    # Beyond PLAIN_PARTITIONS only what the cores need, however many the session asks for.
+    cores = both.src.sparkSession.sparkContext.defaultParallelism
+    at_least = min(_partitions(both), -(-rows // TASK_ROWS), max(PLAIN_PARTITIONS, cores))
     # Two at least, so that rows are dealt by key also where there are hardly any.
     return max(2, at_least, min(-(-size // TASK_BYTES), PLAIN_PARTITIONS), -(-size // MOST_BYTES))
 

@@ -359,6 +359,21 @@ def test_a_task_does_not_get_more_as_the_tables_grow(spark, monkeypatch, unique_
         assert len(keyed) >= tasks and max(r["count"] for r in keyed) < 2 * n / tasks
 
 
+@pytest.mark.parametrize("unique_key", [False, True])
+def test_a_session_with_many_partitions_does_not_make_the_shuffle_sort(spark, monkeypatch, unique_key):
+    """With more than 200 partitions every task that reads a table sorts its rows in memory first."""
+    monkeypatch.setattr(al, "TASK_ROWS", 1)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "600")
+    try:
+        aligned = al.align(sides(many(spark, 3000), many(spark, 3000)), unique_key=unique_key, hot_rows=None)
+        keyed = aligned.where("primary_key IS NOT NULL").groupBy(F.spark_partition_id().alias("task")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sum(r["count"] for r in keyed) == 3000
+    assert len(keyed) > 100 and max(r["task"] for r in keyed) < 200
+
+
 # --- many hot keys
 
 
